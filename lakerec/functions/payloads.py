@@ -1,0 +1,25 @@
+"""Fields of a JSON payload with a default for each."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def json_fields(payload: Column, defaults: dict[str, object]) -> dict[str, Column]:
+    """One column per key of ``defaults``, typed like its default (str, int as bigint, float as double).
+
+    A key that is missing or null, and a payload that is NULL, give the default. Numbers are read as text first, so a
+    fraction or a quoted number is coerced to the wanted type, and one that is no number at all raises.
+    """
+    parsed = F.from_json(payload, ", ".join(f"`{name}` string" for name in defaults))
+
+    def typed(name: str, default: object) -> Column:
+        text = parsed.getField(name)
+        if isinstance(default, int):
+            text = text.cast("decimal(38,6)").cast("bigint")
+        elif isinstance(default, float):
+            text = text.cast("double")
+        return F.coalesce(text, F.lit(default).cast("bigint") if isinstance(default, int) else F.lit(default))
+
+    return {name: typed(name, default) for name, default in defaults.items()}

@@ -1,0 +1 @@
+"""Deliberately empty: every job of this engine is a batch refresh, and no stream operator is in its scope."""
