@@ -20,7 +20,7 @@ from lakerec.operators import als, embed, matching, ranking, silver
 from lakerec.operators.profile import profile
 from lakerec.operators.upsert import upsert
 from lakerec.plans import jobs, serve
-from lakerec.session import new_scratch
+from lakerec.session import new_scratch, stored
 from lakerec.sources import files, lookup, proxies
 from lakerec.sources.proxies import table
 from lakerec.sources.tables import ensure_namespace, overwrite_table
@@ -28,7 +28,11 @@ from lakerec.sources.tables import ensure_namespace, overwrite_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 SERVED_USER = 1
-SILVER_TIME = F.col("timestamp").cast("timestamp_ntz").alias("timestamp")
+
+
+def _zoneless(df: DataFrame) -> DataFrame:
+    """``timestamp`` as the zone-free type the SQL side has."""
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 # --- scans, landing, sinks -------------------------------------------------------------------------------------------
@@ -63,8 +67,8 @@ def profile_table(spark: SparkSession, sf: str) -> DataFrame:
     def one(name: str, df: DataFrame) -> DataFrame:
         return profile(df).select(F.lit(name).alias("table"), "column", "rows", "nulls", "min", "max")
 
-    silver_ratings = proxies.ratings(spark, sf).withColumn("timestamp", SILVER_TIME)
-    silver_tags = silver.tags(proxies.tags_raw(spark, sf)).withColumn("timestamp", SILVER_TIME)
+    silver_ratings = _zoneless(proxies.ratings(spark, sf))
+    silver_tags = _zoneless(silver.tags(proxies.tags_raw(spark, sf)))
     return reduce(
         DataFrame.unionByName,
         [
@@ -104,11 +108,11 @@ def movies_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ratings_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.ratings(proxies.ratings_raw(spark, sf)).withColumn("timestamp", SILVER_TIME)
+    return _zoneless(silver.ratings(proxies.ratings_raw(spark, sf)))
 
 
 def tags_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.tags(proxies.tags_raw(spark, sf)).withColumn("timestamp", SILVER_TIME)
+    return _zoneless(silver.tags(proxies.tags_raw(spark, sf)))
 
 
 def links_silver(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,7 +124,7 @@ def links_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 def decay_rating(spark: SparkSession, sf: str) -> DataFrame:
     fresh = ranking.with_freshness(proxies.ratings(spark, sf))
-    return fresh.withColumn("timestamp", SILVER_TIME).withColumn("days_old", F.col("days_old").cast("bigint"))
+    return _zoneless(fresh).withColumn("days_old", F.col("days_old").cast("bigint"))
 
 
 def item_popularity(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,7 +135,7 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Plain ratings in the place of model scores, so that SQL can follow."""
     ratings = proxies.ratings(spark, sf)
     candidates = ratings.select("userId", "movieId", F.col("rating").alias("als_score"))
-    scored = ranking.with_fairness(candidates, ranking.item_popularity(ratings))
+    scored = ranking.with_fairness(candidates, stored(ranking.item_popularity(ratings), "popularity"))
     return scored.withColumn("fairness_score", F.round("fairness_score", 6))
 
 
@@ -170,7 +174,7 @@ def serve_recs(spark: SparkSession, sf: str) -> DataFrame:
 def serve_history(spark: SparkSession, sf: str) -> DataFrame:
     movies = silver.movies(proxies.movies_raw(spark, sf)).withColumn("genres", F.to_json("genres"))
     history = serve.history_of(SERVED_USER, proxies.ratings(spark, sf), movies, proxies.links_raw(spark, sf))
-    return history.withColumn("timestamp", SILVER_TIME)
+    return _zoneless(history)
 
 
 # --- enrichment ------------------------------------------------------------------------------------------------------
@@ -199,7 +203,8 @@ def json_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 def _exemplars(spark: SparkSession, sf: str) -> DataFrame:
     """One vector per label, that of its lowest id; reduced before the shuffle."""
-    return table(spark, sf, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("exemplar"))
+    vectors = table(spark, sf, "embeddings")
+    return stored(vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("exemplar")), "exemplars")
 
 
 def cosine_to_exemplar(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,11 +294,11 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
         files.write_csv(df, f"{place}/landed/{name}.csv")
     jobs.refresh_all(spark, f"{place}/landed", tables, captured=proxies.payloads(spark, sf))
 
-    def rows(name: str, stored: str) -> DataFrame:
-        return spark.table(stored).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+    def rows(name: str) -> DataFrame:
+        return spark.table(getattr(tables, name)).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
 
-    stored = ["movies", "ratings", "tags", "links", "recommendations", "details", "vectors"]
-    return reduce(DataFrame.unionByName, [rows(name, getattr(tables, name)) for name in stored])
+    names = ["movies", "ratings", "tags", "links", "recommendations", "details", "vectors"]
+    return reduce(DataFrame.unionByName, map(rows, names))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -539,7 +544,8 @@ def oracle_sql() -> dict[str, str]:
         "knn_batch": _with(
             ["exemplars"],
             """
-            select query_id, "movieId", round(raw, 6) + 0.0 as similarity, rank from (
+            select cast(query_id as bigint) as query_id, cast("movieId" as integer) as "movieId",
+                   round(raw, 6) + 0.0 as similarity, rank from (
                 select *, row_number() over (partition by query_id order by raw desc nulls last, "movieId") as rank
                 from (select exemplars.label as query_id, vec_id as "movieId",
                              list_cosine_similarity(embedding::double[], exemplar::double[]) as raw

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app_name: str = "lakerec") -> SparkSession:
@@ -31,6 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: computed once, lineage cut, size known to the planner."""
+    path = new_scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder. A retried or repeated run never meets the files of an earlier one."""
     return f"{shared_dir(spark).rstrip('/')}/lakerec/{label}-{uuid.uuid4().hex}"

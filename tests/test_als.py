@@ -1,0 +1,127 @@
+import numpy as np
+import pytest
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import functions as F
+
+from lakerec.operators import als, ranking
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """200 users x 150 items, rank 2, 30 % of cells, one fifth of them held out."""
+    rng = np.random.default_rng(0)
+    full = rng.uniform(0.3, 1.6, (200, 2)) @ rng.uniform(0.3, 1.6, (150, 2)).T
+    cells = [(int(u), int(i)) for u, i in zip(*np.nonzero(rng.uniform(size=full.shape) < 0.3))]
+    held = rng.uniform(size=len(cells)) < 0.2
+
+    def frame(wanted):
+        rows = [(u, i, float(full[u, i])) for (u, i), h in zip(cells, held) if h == wanted]
+        return spark.createDataFrame(rows, "userId int, movieId int, fresh_rating double")
+
+    return frame(False), frame(True)
+
+
+def predictions(factors, pairs):
+    users = factors.users.select(F.col("id").alias("userId"), F.col("features").alias("x"))
+    items = factors.items.select(F.col("id").alias("movieId"), F.col("features").alias("y"))
+    rows = pairs.join(users, "userId").join(items, "movieId").collect()
+    return np.array([[r.fresh_rating, np.dot(r.x, r.y)] for r in rows])
+
+
+def rmse(a, b):
+    return float(np.sqrt(np.mean((a - b) ** 2)))
+
+
+FORMS = {"mllib": als.MAX_RATINGS_PER_ID, "split": 10}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_held_out_error(planted, form):
+    train, held = planted
+    factors = als.factorise(train, max_ratings_per_id=FORMS[form])
+    found = predictions(factors, held)
+    assert len(found) == held.count()
+    assert rmse(found[:, 0], found[:, 1]) < rmse(found[:, 0], found[:, 0].mean()) / 2
+    for side in (factors.users, factors.items):
+        assert min(min(r.features) for r in side.collect()) >= 0
+
+
+def objective(factors, train, reg=0.1):
+    found = predictions(factors, train)
+    users = {r.id: np.array(r.features) for r in factors.users.collect()}
+    items = {r.id: np.array(r.features) for r in factors.items.collect()}
+    penalty = sum(users[r.userId] @ users[r.userId] + items[r.movieId] @ items[r.movieId] for r in train.collect())
+    return float(((found[:, 0] - found[:, 1]) ** 2).sum() + reg * penalty)
+
+
+def test_split_form_reaches_the_objective_of_mllib(planted):
+    train, _ = planted
+    a = objective(als.factorise(train), train)
+    b = objective(als.factorise(train, max_ratings_per_id=10), train)
+    assert b == pytest.approx(a, rel=0.02)
+
+
+def test_split_form_does_not_depend_on_pieces_or_partitions(planted):
+    train, _ = planted
+    a = als.factorise_split(als.usable(train), max_iter=3, max_ratings_per_id=7)
+    b = als.factorise_split(als.usable(train.repartition(3)), max_iter=3, max_ratings_per_id=1000)
+    for x, y in ((a.users, b.users), (a.items, b.items)):
+        x, y = ({r.id: r.features for r in side.collect()} for side in (x, y))
+        assert x.keys() == y.keys()
+        assert max(np.abs(np.array(x[k]) - np.array(y[k])).max() for k in x) < 1e-4
+
+
+def test_split_form_half_step_solves_its_least_squares(spark):
+    """With fixed item factors the user factor must satisfy the conditions of the non-negative optimum."""
+    rng = np.random.default_rng(1)
+    y = rng.uniform(size=(40, 3))
+    r = rng.uniform(-1, 2, size=40)
+    a, b = y.T @ y, y.T @ r
+    upper = np.triu_indices(3)
+    df = spark.createDataFrame([(a[upper].tolist(), b.tolist(), 40)], "g array<double>, r array<double>, n bigint")
+    x = np.array(df.select(als._solver(3, 0.1)("g", "r", "n").alias("x")).first().x)
+    gradient = (a + 4.0 * np.eye(3)) @ x - b
+    assert (x >= 0).all() and (gradient > -1e-4).all() and np.abs(gradient * x).max() < 1e-4
+
+
+def test_measure(spark):
+    rows = [(1, m, 1.0) for m in range(5)] + [(u, 3, 1.0) for u in range(2, 9)] + [(1, 1, None)]
+    load = als.measure(als.usable(spark.createDataFrame(rows, "userId int, movieId int, fresh_rating double")))
+    assert load == als.Load(ratings=12, busiest=8)
+
+
+def test_bad_ids_raise_and_null_ratings_drop(spark):
+    good = [(u, m, 1.0 + (u + m) % 3) for u in range(6) for m in range(6)]
+    kept = spark.createDataFrame(good + [(99, 99, None)], "userId bigint, movieId bigint, fresh_rating double")
+    assert als.factorise(kept).users.count() == 6
+    with pytest.raises(Exception, match="CAST_OVERFLOW|(?i:integer)"):
+        big = spark.createDataFrame(good + [(3_000_000_000, 1, 1.0)], kept.schema)
+        als.factorise(big).users.count()
+
+
+def test_recommendations_agree_with_mllib(planted, spark):
+    train, _ = planted
+    model = ALS(
+        userCol="userId", itemCol="movieId", ratingCol="fresh_rating", rank=10, regParam=0.1, nonnegative=True, seed=42
+    ).fit(train)
+    expected = ranking.explode_candidates(model.recommendForAllUsers(20)).collect()
+    scores = {}
+    for r in expected:
+        scores.setdefault(r.userId, []).append(r.als_score)
+    factors = als.Factors(model.userFactors, model.itemFactors, 10)
+    for limit in (als.BROADCAST_BYTES, 0):
+        found = {}
+        for r in als.recommend_for_all_users(factors, 20, max_broadcast_bytes=limit).collect():
+            found.setdefault(r.userId, []).append(r.als_score)
+        assert found.keys() == scores.keys()
+        for user in scores:
+            np.testing.assert_allclose(sorted(found[user]), sorted(scores[user]), rtol=1e-5)
+
+
+def test_same_seed_same_candidates(planted):
+    train, _ = planted
+
+    def candidates(df):
+        return {(r.userId, r.movieId) for r in als.recommend_for_all_users(als.factorise(df), 10).collect()}
+
+    assert candidates(train) == candidates(train.repartition(7, "movieId"))
