@@ -65,7 +65,7 @@ def overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def profile_table(spark: SparkSession, sf: str) -> DataFrame:
     def one(name: str, df: DataFrame) -> DataFrame:
-        return profile(df).select(F.lit(name).alias("table"), "column", "rows", "nulls", "min", "max")
+        return profile(df, distinct=False).select(F.lit(name).alias("table"), "column", "rows", "nulls", "min", "max")
 
     silver_ratings = _zoneless(proxies.ratings(spark, sf))
     silver_tags = _zoneless(silver.tags(proxies.tags_raw(spark, sf)))
@@ -156,11 +156,12 @@ def explode_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def als_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return als.recommend_for_all_users(als.factorise(ranking.with_freshness(proxies.ratings(spark, sf))))
+    ratings = stored(proxies.ratings(spark, sf), "ratings")  # read several times, as the silver table is
+    return als.recommend_for_all_users(als.factorise(ranking.with_freshness(ratings)))
 
 
 def recommend_gold(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.recommend(proxies.ratings(spark, sf))
+    return jobs.recommend(stored(proxies.ratings(spark, sf), "ratings"))
 
 
 # --- serving ---------------------------------------------------------------------------------------------------------
@@ -256,7 +257,7 @@ def embedding_context(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def embed_documents(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "documents").select("doc_id", F.col("text").alias("context"))
+    texts = embed.spread(table(spark, sf, "documents").select("doc_id", F.col("text").alias("context")))
     vectors = embed.embed_with_model(embed.fit_text_model(texts), texts)
     return vectors.select(
         "doc_id", F.size("embedding").cast("bigint").alias("dim"), F.round(norm(F.col("embedding")), 5).alias("norm")
@@ -265,7 +266,8 @@ def embed_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def semantic_search(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark passage as a query text against all described entries."""
-    rows = embed.with_context(_input(spark, sf))
+    movies, details = silver.movies(proxies.movies_raw(spark, sf)), embed.spread(proxies.details(spark, sf))
+    rows = embed.with_context(embed.embedding_input(movies, details))
     model = embed.fit_text_model(rows)
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("context"))
     found = jobs.search_many(

@@ -38,7 +38,7 @@ FORMS = {"mllib": als.MAX_RATINGS_PER_ID, "split": 10}
 @pytest.mark.parametrize("form", FORMS)
 def test_held_out_error(planted, form):
     train, held = planted
-    factors = als.factorise(train, max_ratings_per_id=FORMS[form])
+    factors = als.factorise(train, rank=4, max_ratings_per_id=FORMS[form])
     found = predictions(factors, held)
     assert len(found) == held.count()
     assert rmse(found[:, 0], found[:, 1]) < rmse(found[:, 0], found[:, 0].mean()) / 2
@@ -56,15 +56,15 @@ def objective(factors, train, reg=0.1):
 
 def test_split_form_reaches_the_objective_of_mllib(planted):
     train, _ = planted
-    a = objective(als.factorise(train), train)
-    b = objective(als.factorise(train, max_ratings_per_id=10), train)
+    a = objective(als.factorise(train, rank=3), train)
+    b = objective(als.factorise(train, rank=3, max_ratings_per_id=10), train)
     assert b == pytest.approx(a, rel=0.02)
 
 
 def test_split_form_does_not_depend_on_pieces_or_partitions(planted):
     train, _ = planted
-    a = als.factorise_split(als.usable(train), max_iter=3, max_ratings_per_id=7)
-    b = als.factorise_split(als.usable(train.repartition(3)), max_iter=3, max_ratings_per_id=1000)
+    a = als.factorise_split(als.usable(train), rank=3, max_iter=2, max_ratings_per_id=7)
+    b = als.factorise_split(als.usable(train.repartition(3)), rank=3, max_iter=2, max_ratings_per_id=1000)
     for x, y in ((a.users, b.users), (a.items, b.items)):
         x, y = ({r.id: r.features for r in side.collect()} for side in (x, y))
         assert x.keys() == y.keys()
