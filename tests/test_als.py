@@ -61,14 +61,23 @@ def test_split_form_reaches_the_objective_of_mllib(planted):
     assert b == pytest.approx(a, rel=0.02)
 
 
-def test_split_form_does_not_depend_on_pieces_or_partitions(planted):
+def test_split_form_does_not_depend_on_plan_pieces_or_partitions(planted):
     train, _ = planted
-    a = als.factorise_split(als.usable(train), rank=3, max_iter=2, max_ratings_per_id=7)
-    b = als.factorise_split(als.usable(train.repartition(3)), rank=3, max_iter=2, max_ratings_per_id=1000)
-    for x, y in ((a.users, b.users), (a.items, b.items)):
-        x, y = ({r.id: r.features for r in side.collect()} for side in (x, y))
-        assert x.keys() == y.keys()
-        assert max(np.abs(np.array(x[k]) - np.array(y[k])).max() for k in x) < 1e-4
+    triples = als.usable(train)
+    forms = [
+        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7),
+        als.factorise_split(als.usable(train.repartition(3)), rank=3, max_iter=2, max_ratings_per_id=1000),
+        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=0, presum=False),
+        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=0, presum=True),
+        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=160 * 28),
+    ]
+    sides = [
+        [{r.id: np.array(r.features) for r in side.collect()} for side in (form.users, form.items)] for form in forms
+    ]
+    for form in sides[1:]:
+        for x, y in zip(sides[0], form):
+            assert x.keys() == y.keys()
+            assert max(np.abs(x[k] - y[k]).max() for k in x) < 1e-4
 
 
 def test_split_form_half_step_solves_its_least_squares(spark):
