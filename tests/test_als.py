@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
@@ -80,17 +82,30 @@ def test_split_form_does_not_depend_on_plan_pieces_or_partitions(planted):
             assert max(np.abs(x[k] - y[k]).max() for k in x) < 1e-4
 
 
-def test_split_form_half_step_solves_its_least_squares(spark):
-    """With fixed item factors the user factor must satisfy the conditions of the non-negative optimum."""
+@given(st.integers(0, 2**32 - 1), st.integers(1, 10), st.integers(1, 60))
+@settings(max_examples=60, deadline=None)
+def test_nonnegative_least_squares(seed, rank, n):
+    """Conditions of the optimum: x >= 0, slope >= 0, and one of them zero."""
+    rng = np.random.default_rng(seed)
+    y = rng.uniform(size=(n, rng.integers(1, 30), rank))
+    r = rng.uniform(-2, 3, size=y.shape[:2])
+    a = np.einsum("nij,nik->njk", y, y) + 0.1 * np.eye(rank)
+    b = np.einsum("nij,ni->nj", y, r)
+    x = als.nonnegative_least_squares(a, b)
+    slope = np.einsum("nij,nj->ni", a, x) - b
+    assert (x >= 0).all() and (slope > -1e-7).all() and np.abs(slope * x).max() < 1e-6
+
+
+def test_solver_scales_the_penalty_with_the_count(spark):
     rng = np.random.default_rng(1)
-    y = rng.uniform(size=(40, 3))
-    r = rng.uniform(-1, 2, size=40)
+    y, r = rng.uniform(size=(40, 3)), rng.uniform(1, 2, size=40)
     a, b = y.T @ y, y.T @ r
-    upper = np.triu_indices(3)
-    df = spark.createDataFrame([(a[upper].tolist(), b.tolist(), 40)], "g array<double>, r array<double>, n bigint")
-    x = np.array(df.select(als._solver(3, 0.1)("g", "r", "n").alias("x")).first().x)
-    gradient = (a + 4.0 * np.eye(3)) @ x - b
-    assert (x >= 0).all() and (gradient > -1e-4).all() and np.abs(gradient * x).max() < 1e-4
+    df = spark.createDataFrame(
+        [(a[np.triu_indices(3)].tolist(), b.tolist(), 40)], "g array<double>, r array<double>, n bigint"
+    )
+    x = df.select(als._solver(3, 0.1)("g", "r", "n").alias("x")).first().x
+    expected = als.nonnegative_least_squares((a + 4.0 * np.eye(3))[None], b[None])[0]
+    np.testing.assert_allclose(x, expected, atol=1e-6)
 
 
 def test_measure(spark):
