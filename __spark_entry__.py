@@ -18,7 +18,7 @@ from lakerec.functions.scores import similarity_percent
 from lakerec.functions.vectors import cosine_similarity, norm
 from lakerec.operators import als, embed, matching, ranking, silver
 from lakerec.operators.profile import profile
-from lakerec.operators.upsert import upsert
+from lakerec.operators.upsert import fold_batch, upsert
 from lakerec.plans import jobs, serve
 from lakerec.session import new_scratch, stored
 from lakerec.sources import files, lookup, proxies
@@ -96,7 +96,8 @@ def upsert_partial(spark: SparkSession, sf: str) -> DataFrame:
         F.array(F.col("value").cast("float")).alias("embedding"),
         "event_id",
     )
-    merged = upsert(base, updates, order_by="event_id")
+    batch = stored(fold_batch(updates, "movieId", ["embedding", "overview"], "event_id"), "batch")
+    merged = upsert(base, batch)
     return merged.withColumn("embedding", F.col("embedding")[0].cast("double"))
 
 

@@ -1,5 +1,6 @@
 import json
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -153,6 +154,13 @@ def test_lookup_forms_agree(spark):
     assert [tuple(r) for r in offline.orderBy("movieId").collect()] == expected
 
 
+def test_lookup_keeps_its_interval(spark):
+    keys = spark.createDataFrame([(m, 10) for m in range(5)], "movieId int, tmdbId int")
+    start = time.perf_counter()
+    assert lookup.fetch_payloads(keys, client_factory, clients=1, min_interval_s=0.2).count() == 5
+    assert time.perf_counter() - start >= 1.0
+
+
 def test_scratch_follows_the_cluster_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert session.new_scratch(spark, "x").startswith(f"{base}/lakerec/x-")
