@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerec import fixed
-from lakerec.functions.payloads import json_fields
 from lakerec.functions.scores import similarity_percent
 from lakerec.functions.vectors import cosine_similarity, norm
 from lakerec.operators import als, embed, matching, ranking, silver
+from lakerec.operators.payloads import with_json_fields
 from lakerec.operators.profile import profile
 from lakerec.operators.upsert import fold_batch, upsert
 from lakerec.plans import jobs, serve
@@ -196,8 +196,8 @@ def enrich_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_defaults(spark: SparkSession, sf: str) -> DataFrame:
-    fields = json_fields(F.col("props"), {"k": -1, **fixed.DETAIL_DEFAULTS})
-    return table(spark, sf, "events").select("event_id", *(column.alias(name) for name, column in fields.items()))
+    events = table(spark, sf, "events").select("event_id", "props")
+    return with_json_fields(events, "props", {"k": -1, **fixed.DETAIL_DEFAULTS})
 
 
 # --- vectors ---------------------------------------------------------------------------------------------------------
