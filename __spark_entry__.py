@@ -25,6 +25,17 @@ from lakerec.sources import files, lookup, proxies
 from lakerec.sources.proxies import table
 from lakerec.sources.tables import ensure_namespace, overwrite_table
 
+try:  # the operators of training-data pipelines can be taken out as a whole
+    import corpus_pipeline
+    from lakerec.llm.queries import ORACLES as LLM_ORACLES
+    from lakerec.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLES = {**LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SERVED_USER = 1
@@ -351,6 +362,7 @@ def queries() -> dict[str, Query]:
         "embed_documents": embed_documents,
         "semantic_search": semantic_search,
         "full_refresh": full_refresh,
+        **LLM_QUERIES,
     }
     return {name: _in_utc(query) for name, query in registered.items()}
 
@@ -575,4 +587,5 @@ def oracle_sql() -> dict[str, str]:
             union all select 'details', count(*) from resolvable
             union all select 'vectors', count(*) from input join resolvable using ("movieId")""",
         ),
+        **LLM_ORACLES,
     }
