@@ -222,21 +222,20 @@ def judged(rows: DataFrame, limits: DataFrame | None = None, reach: int = 3, min
     if limits is None:
         limits = stored(fences(sketches(rows), reach, min_group), "fences")
     names = [f"{m}_high" for m in MEASURES] + [f"{m}_low" for m in LOWER_FENCED]
-    out = rows
-    for level, keys in ((2, ["lang", "source"]), (1, ["lang"]), (0, [])):
-        side = limits.where(f"level = {level}").select(
-            *[F.col(k).alias(f"__{k}") for k in keys], F.struct(*names).alias(f"__level{level}")
-        )
-        if keys:
-            match = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-            out = out.join(side, match, "left").drop(*[f"__{k}" for k in keys])
-        else:
-            out = out.join(F.broadcast(side), F.lit(True), "left")  # one row
-    limit = F.coalesce("__level2", "__level1", "__level0")
+    columns = ["lang", "source"]
+    every = limits.where("level = 0").select(F.struct(*names)).scalar()  # one row, or none if all texts failed
+    group = limits.where("level = 2").select(
+        *[F.col(c).alias(f"__{c}") for c in columns], F.struct(*names).alias("__group")
+    )
+    lang = limits.where("level = 1").select(F.col("lang").alias("__lang"), F.struct(*names).alias("__language"))
+    same_lang = F.col("lang").eqNullSafe(F.col("__lang"))
+    out = rows.join(group, same_lang & F.col("source").eqNullSafe(F.col("__source")), "left").drop("__lang", "__source")
+    out = out.join(lang, same_lang, "left").drop("__lang")
+    limit = F.coalesce("__group", "__language", every)
     inside = F.lit(True)
     for m in MEASURES:
         inside = inside & (measure_value(m) <= limit[f"{m}_high"])
     for m in LOWER_FENCED:
         inside = inside & (measure_value(m) >= limit[f"{m}_low"])
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
-    return out.withColumn("kept", kept).drop("__level2", "__level1", "__level0")
+    return out.withColumn("kept", kept).drop("__group", "__language")
