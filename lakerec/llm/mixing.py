@@ -86,7 +86,9 @@ def expected_copies(classes: DataFrame) -> DataFrame:
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
     rows = rows.withColumn("level", level)
-    share = F.greatest(F.lit(0.0), F.col("level.left") * F.col("appeal") / F.col("level.sharing"))
+    some = F.nullif(F.col("level.sharing"), F.lit(0))
+    share = F.greatest(F.lit(0.0), F.col("level.left") * F.col("appeal") / some)
+    share = F.when(F.col("level.sharing") == 0, F.lit(0.0)).otherwise(share)  # no words
     return rows.select("source", "appeal", F.least(F.lit(float(MOST)), F.coalesce(share, F.lit(float(MOST)))).alias("expected"))
 
 
@@ -94,7 +96,7 @@ def _with_rank(rows: DataFrame) -> DataFrame:
     """``whole`` certain copies and the rank variable ``ratio`` (null: no chance of one more)."""
     whole = F.floor("expected")
     rest = F.col("expected") - whole
-    ratio = F.col("draw") * (1 - F.col("rest")) / ((1 - F.col("draw")) * F.col("rest"))
+    ratio = F.try_divide(F.col("draw") * (1 - F.col("rest")), (1 - F.col("draw")) * F.col("rest"))
     return rows.withColumn("whole", whole).withColumn("rest", rest).withColumn(
         "ratio", F.when((F.col("rest") > 0) & (F.col("size") > 0), ratio)
     )
