@@ -1 +1 @@
-"""Operators: DataFrame in, DataFrame out, nothing collected and nothing written."""
+"""Operators over DataFrames. ``als`` and ``matching`` also store intermediate tables and collect sides of checked size."""

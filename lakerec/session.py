@@ -2,35 +2,57 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[str] = []
+_swept: set[str] = set()
+
 
 def get_session(app_name: str = "lakerec") -> SparkSession:
     """The session, created if needed. Everything not set here is left to spark-submit and the cluster's defaults."""
-    builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    master = os.environ.get("SPARK_MASTER_URL")
-    if master:
-        builder = builder.master(master)
-    return builder.getOrCreate()
+    return SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or in local mode a new temporary folder."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or where it is unset one in the warehouse."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="lakerec-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
     return base
 
 
+def _folder(spark: SparkSession) -> str:
+    """This session's part of the shared folder; the file system removes it when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/lakerec/{spark.sparkContext.applicationId}"
+    if path not in _swept:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _swept.add(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is removed at the end. Results must be in their own tables by then."""
+    path = f"{_folder(spark)}/scope-{uuid.uuid4().hex}"
+    _scopes.append(path)
+    try:
+        yield
+    finally:
+        _scopes.remove(path)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: computed once, lineage cut, size known to the planner."""
     path = new_scratch(df.sparkSession, label)
@@ -40,4 +62,4 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder. A retried or repeated run never meets the files of an earlier one."""
-    return f"{shared_dir(spark).rstrip('/')}/lakerec/{label}-{uuid.uuid4().hex}"
+    return f"{_scopes[-1] if _scopes else _folder(spark)}/{label}-{uuid.uuid4().hex}"

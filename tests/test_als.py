@@ -34,7 +34,7 @@ def rmse(a, b):
     return float(np.sqrt(np.mean((a - b) ** 2)))
 
 
-FORMS = {"mllib": als.MAX_RATINGS_PER_ID, "split": 10}
+FORMS = {"whole": als.MAX_RATINGS_PER_ID, "split": 10}
 
 
 @pytest.mark.parametrize("form", FORMS)
@@ -56,23 +56,25 @@ def objective(factors, train, reg=0.1):
     return float(((found[:, 0] - found[:, 1]) ** 2).sum() + reg * penalty)
 
 
-def test_split_form_reaches_the_objective_of_mllib(planted):
+def test_reaches_the_objective_of_mllib(planted):
     train, _ = planted
-    a = objective(als.factorise(train, rank=3), train)
+    model = ALS(
+        rank=3, userCol="userId", itemCol="movieId", ratingCol="fresh_rating", regParam=0.1, nonnegative=True, seed=42
+    ).fit(train)
+    a = objective(als.Factors(model.userFactors, model.itemFactors, 3), train)
     b = objective(als.factorise(train, rank=3, max_ratings_per_id=10), train)
     assert b == pytest.approx(a, rel=0.02)
 
 
 def test_split_form_does_not_depend_on_plan_pieces_or_partitions(planted):
     train, _ = planted
-    triples = als.usable(train)
     # 150 items and 200 users of 92 bytes: the last form broadcasts the items only.
     forms = [
-        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7),
-        als.factorise_split(als.usable(train.repartition(3)), rank=3, max_iter=2, max_ratings_per_id=1000),
-        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=0, presum=False),
-        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=0, presum=True),
-        als.factorise_split(triples, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=16_000),
+        als.factorise(train, rank=3, max_iter=2, max_ratings_per_id=7),
+        als.factorise(train.repartition(3), rank=3, max_iter=2, max_ratings_per_id=1000),
+        als.factorise(train, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=0, presum=False),
+        als.factorise(train, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=0, presum=True),
+        als.factorise(train, rank=3, max_iter=2, max_ratings_per_id=7, max_broadcast_bytes=16_000),
     ]
     sides = [
         [{r.id: np.array(r.features) for r in side.collect()} for side in (form.users, form.items)] for form in forms
@@ -97,24 +99,15 @@ def test_nonnegative_least_squares(seed, rank, n):
     assert (x >= 0).all() and (slope > -1e-7).all() and np.abs(slope * x).max() < 1e-6
 
 
-def test_solver_scales_the_penalty_with_the_count(spark):
+def test_solver_scales_the_penalty_with_the_count():
     rng = np.random.default_rng(1)
     y, r = rng.uniform(size=(40, 3)), rng.uniform(1, 2, size=40)
     a, b = y.T @ y, y.T @ r
-    df = spark.createDataFrame(
-        [(a[np.triu_indices(3)].tolist(), b.tolist(), 40)], "g array<double>, r array<double>, n bigint"
-    )
-    x = df.select(als._solver(3, 0.1)("g", "r", "n").alias("x")).first().x
+    x = als.solve(a[np.triu_indices(3)][None], b[None], np.array([40.0]), 0.1)[0]
     expected = als.nonnegative_least_squares((a + 4.0 * np.eye(3))[None], b[None])[0]
     np.testing.assert_allclose(x, expected, atol=1e-6)
 
 
-def test_measure(spark):
-    rows = [(1, m, 1.0) for m in range(5)] + [(u, 3, 1.0) for u in range(2, 9)] + [(1, 1, None)]
-    load = als.measure(als.usable(spark.createDataFrame(rows, "userId int, movieId int, fresh_rating double")))
-    assert load == als.Load(ratings=12, busiest=8)
-
-
 def test_bad_ids_raise_and_null_ratings_drop(spark):
     good = [(u, m, 1.0 + (u + m) % 3) for u in range(6) for m in range(6)]
     kept = spark.createDataFrame(good + [(99, 99, None)], "userId bigint, movieId bigint, fresh_rating double")
