@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -61,8 +62,28 @@ def csv_multiline_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, path, multi_line=True)
 
 
-def bronze_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return files.manifest(spark, sf, "*.parquet")
+def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {
+        "movies": proxies.movies_raw(spark, sf),
+        "ratings": proxies.ratings_raw(spark, sf),
+        "tags": proxies.tags_raw(spark, sf),
+        "links": proxies.links_raw(spark, sf),
+    }
+
+
+def bronze_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """The four raw tables as nested CSV files, landed under their names, and every landed value as text."""
+    source, target = new_scratch(spark, "download"), new_scratch(spark, "landed")
+    for name, df in _raw(spark, sf).items():
+        files.write_csv_file(df, f"{source}/set/{name}.csv")
+    files.land_csv(spark, source, target)
+
+    def landed(name: str, columns: list[str]) -> DataFrame:
+        rows = files.read_csv(spark, f"{target}/{name}.csv", multi_line=name == "tags")
+        values = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+        return rows.select(F.lit(name).alias("table"), *values, *[F.lit(None).cast("string").alias(f"c{i}") for i in range(len(columns), 4)])
+
+    return reduce(DataFrame.unionByName, [landed(name, df.columns) for name, df in _raw(spark, sf).items()])
 
 
 def overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,9 +97,10 @@ def overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def profile_table(spark: SparkSession, sf: str) -> DataFrame:
     def one(name: str, df: DataFrame) -> DataFrame:
-        return profile(df, distinct=False).select(F.lit(name).alias("table"), "column", "rows", "nulls", "min", "max")
+        seen = profile(df, exact=True)
+        return seen.select(F.lit(name).alias("table"), "column", "rows", "nulls", "distinct", "min", "max")
 
-    silver_ratings = _zoneless(proxies.ratings(spark, sf))
+    silver_ratings = _zoneless(stored(proxies.ratings(spark, sf), "ratings"))
     silver_tags = _zoneless(silver.tags(proxies.tags_raw(spark, sf)))
     return reduce(
         DataFrame.unionByName,
@@ -135,7 +157,7 @@ def links_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decay_rating(spark: SparkSession, sf: str) -> DataFrame:
-    fresh = ranking.with_freshness(proxies.ratings(spark, sf))
+    fresh = ranking.with_freshness(stored(proxies.ratings(spark, sf), "ratings"))
     return _zoneless(fresh).withColumn("days_old", F.col("days_old").cast("bigint"))
 
 
@@ -145,7 +167,7 @@ def item_popularity(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Plain ratings in the place of model scores, so that SQL can follow."""
-    ratings = proxies.ratings(spark, sf)
+    ratings = stored(proxies.ratings(spark, sf), "ratings")
     candidates = ratings.select("userId", "movieId", F.col("rating").alias("als_score"))
     scored = ranking.with_fairness(candidates, stored(ranking.item_popularity(ratings), "popularity"))
     return scored.withColumn("fairness_score", F.round("fairness_score", 6))
@@ -176,6 +198,24 @@ def recommend_gold(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.recommend(stored(proxies.ratings(spark, sf), "ratings"))
 
 
+def als_rank_one(spark: SparkSession, sf: str) -> DataFrame:
+    """At rank 1 every start factor is 1 and a half step is one quotient, so SQL can follow three iterations."""
+    ratings = stored(proxies.ratings(spark, sf), "ratings")
+    factors = als.factorise(ranking.with_freshness(ratings), rank=1, max_iter=3)
+
+    def side(name: str, df: DataFrame) -> DataFrame:
+        return df.select(F.lit(name).alias("side"), "id", F.round(F.col("features")[0].cast("double"), 3).alias("factor"))
+
+    return side("user", factors.users).union(side("item", factors.items))
+
+
+def recommend_rank_one(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole gold job at rank 1: the ten scores of every user, best first."""
+    best = jobs.recommend(stored(proxies.ratings(spark, sf), "ratings"), rank=1, max_iter=3)
+    place = F.expr("row_number() over (partition by userId order by score desc)").cast("bigint")
+    return best.select("userId", place.alias("place"), F.round("score", 3).alias("score"))
+
+
 # --- serving ---------------------------------------------------------------------------------------------------------
 
 
@@ -206,6 +246,23 @@ def enrich_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return lookup.details(lookup.captured_payloads(keys, proxies.payloads(spark, sf)))
 
 
+def _client_factory() -> lookup.Client:
+    """A deterministic service: one key in seven fails on the way, one in five is unknown."""
+
+    def client(key: int) -> str | None:
+        if key % 7 == 0:
+            raise OSError("unreachable")
+        return None if key % 5 == 0 else json.dumps({"overview": f"story {key}", "budget": key * 10_000_000})
+
+    return client
+
+
+def enrich_fetch(spark: SparkSession, sf: str) -> DataFrame:
+    keys = lookup.resolvable(proxies.links_raw(spark, sf))
+    payloads = stored(lookup.fetch_payloads(keys, _client_factory, clients=4, min_interval_s=0.0), "payloads")
+    return lookup.details(payloads)
+
+
 def json_defaults(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "props")
     return with_json_fields(events, "props", {"k": -1, **fixed.DETAIL_DEFAULTS})
@@ -276,43 +333,65 @@ def embed_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def semantic_search(spark: SparkSession, sf: str) -> DataFrame:
+def _search_all(spark: SparkSession, sf: str, embedded: Callable[[DataFrame], DataFrame], rows: DataFrame, dim: int) -> DataFrame:
     """Every benchmark passage as a query text against all described entries."""
+    vectors = stored(embedded(rows).select("movieId", "title", F.to_json("genres").alias("genres"), "overview", "embedding"), "vectors")
+    texts = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = jobs.search_texts(vectors, texts, embedded, dim=dim)
+    return found.withColumn("similarity", F.round("similarity", 6)).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def semantic_search(spark: SparkSession, sf: str) -> DataFrame:
     movies, details = silver.movies(proxies.movies_raw(spark, sf)), embed.spread(proxies.details(spark, sf))
     rows = embed.with_context(embed.embedding_input(movies, details))
     model = embed.fit_text_model(rows)
-    queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("context"))
-    found = jobs.search_many(
-        embed.embed_with_model(model, rows).select("movieId", "embedding"), embed.embed_with_model(model, queries)
-    )
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return _search_all(spark, sf, lambda texts: embed.embed_with_model(model, texts), rows, fixed.EMBEDDING_DIM)
+
+
+def _letter_counts() -> embed.Embedder:
+    """An external embedder that SQL can follow: how often each of a-z stands in the text."""
+    return lambda texts: [[float(text.count(chr(c))) for c in range(ord("a"), ord("z") + 1)] for text in texts]
+
+
+def embed_external(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = embed.embed_with(embed.with_context(_input(spark, sf)), _letter_counts, dim=26)
+    return vectors.select("movieId", F.concat_ws(",", F.transform("embedding", lambda x: x.cast("int"))).alias("vector"))
+
+
+def semantic_search_external(spark: SparkSession, sf: str) -> DataFrame:
+    rows = embed.with_context(_input(spark, sf))
+    return _search_all(spark, sf, lambda texts: embed.embed_with(texts, _letter_counts, dim=26), rows, 26)
 
 
 # --- the whole chain -------------------------------------------------------------------------------------------------
 
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """All jobs in order on landed files; rows per resulting table."""
+    """All jobs in order on landed files, twice; what the resulting tables hold, column by column."""
     place = new_scratch(spark, "refresh")
     tag = place.rpartition("-")[2]
     tables = jobs.Tables(f"silver_{tag}", f"gold_{tag}")
     for namespace in (tables.silver, tables.gold):
         ensure_namespace(spark, f"{namespace}.any", f"{place}/{namespace}")
-    raw = {
-        "movies": proxies.movies_raw(spark, sf),
-        "ratings": proxies.ratings_raw(spark, sf),
-        "tags": proxies.tags_raw(spark, sf),
-        "links": proxies.links_raw(spark, sf),
-    }
+    raw = _raw(spark, sf)
+    again = raw["links"].where("movieId % 50 = 2").withColumn("tmdbId", F.col("movieId") + 1)  # a second key for one film
+    raw["links"] = raw["links"].union(again)
     for name, df in raw.items():
         files.write_csv(df, f"{place}/landed/{name}.csv")
-    jobs.refresh_all(spark, f"{place}/landed", tables, captured=proxies.payloads(spark, sf))
-
-    def rows(name: str) -> DataFrame:
-        return spark.table(getattr(tables, name)).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+    for _ in range(2):  # the second run must change nothing
+        jobs.refresh_all(spark, f"{place}/landed", tables, captured=proxies.payloads(spark, sf), model_path=f"{place}/model")
+
+    def seen(name: str) -> DataFrame:
+        df = spark.table(getattr(tables, name)).drop("embedding", "score", "updated_at", "genres")
+        if "timestamp" in df.columns:
+            df = _zoneless(df)
+        found = profile(df, exact=True)
+        if name == "recommendations":  # which films are kept depends on the factors
+            found = found.where("column = 'userId'")
+        return found.select(F.lit(name).alias("table"), "column", "rows", "nulls", "distinct", "min", "max")
 
     names = ["movies", "ratings", "tags", "links", "recommendations", "details", "vectors"]
-    return reduce(DataFrame.unionByName, map(rows, names))
+    return reduce(DataFrame.unionByName, map(seen, names))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -332,7 +411,7 @@ def queries() -> dict[str, Query]:
     registered = {
         "csv_scan": csv_scan,
         "csv_multiline_scan": csv_multiline_scan,
-        "bronze_manifest": bronze_manifest,
+        "bronze_landing": bronze_landing,
         "overwrite_roundtrip": overwrite_roundtrip,
         "profile_table": profile_table,
         "upsert_partial": upsert_partial,
@@ -347,11 +426,14 @@ def queries() -> dict[str, Query]:
         "explode_candidates": explode_candidates,
         "als_candidates": als_candidates,
         "recommend_gold": recommend_gold,
+        "als_rank_one": als_rank_one,
+        "recommend_rank_one": recommend_rank_one,
         "serve_recs": serve_recs,
         "serve_history": serve_history,
         "links_resolvable": links_resolvable,
         "links_first_500": links_first_500,
         "enrich_lookup": enrich_lookup,
+        "enrich_fetch": enrich_fetch,
         "json_defaults": json_defaults,
         "cosine_similarity": cosine,
         "similarity_percent": percent,
@@ -360,7 +442,9 @@ def queries() -> dict[str, Query]:
         "embedding_input": embedding_input,
         "embedding_context": embedding_context,
         "embed_documents": embed_documents,
+        "embed_external": embed_external,
         "semantic_search": semantic_search,
+        "semantic_search_external": semantic_search_external,
         "full_refresh": full_refresh,
         **LLM_QUERIES,
     }
@@ -416,7 +500,50 @@ _CTES = {
         select vec_id, label, list_cosine_similarity(embedding::double[], exemplar::double[]) as similarity
         from embeddings join exemplars using (label)""",
 }
+_CTES |= {
+    "fresh": """
+        select "userId", "movieId", round(rating / pow(2.0, days_old / 1460.0), 1) as r from (
+            select "userId", "movieId", rating,
+                   date_diff('day', "timestamp"::date, max("timestamp"::date) over ()) as days_old
+            from ratings)""",
+    "u0": """select distinct "userId", 1.0::double as x from fresh""",
+    **{
+        name: f"""
+        select f."{wanted}", greatest(0.0, sum(r * x) / (sum(x * x) + 0.1 * count(*))) as x
+        from fresh f join {known} k on f."{other}" = k."{other}" group by 1"""
+        for step in (1, 2, 3)
+        for name, wanted, known, other in (
+            (f"i{step}", "movieId", f"u{step - 1}", "userId"),
+            (f"u{step}", "userId", f"i{step}", "movieId"),
+        )
+    },
+    "users": """select "userId" from (select distinct "userId" from ratings), range(10)""",
+    "all_links": """
+        select * from links
+        union all select "movieId", "imdbId", cast("movieId" + 1 as integer) from links where "movieId" % 50 = 2""",
+    "all_details": """
+        select "movieId", "tmdbId", case when doc_id % 9 <> 0 then text else '' end as overview,
+               case when doc_id is null then '' else '/' || source || '.jpg' end as poster_path,
+               coalesce(n_chars * 10000000, 0) as budget, cast(0 as bigint) as revenue,
+               coalesce((n_chars % 100)::double / 10, 0.0) as vote_average
+        from (select * from all_links where "tmdbId" <> 0) left join documents on doc_id = "tmdbId" """,
+    "all_vectors": """
+        select "movieId", any_value(title) as title, arg_max(overview, "tmdbId") as overview
+        from movies join all_details using ("movieId") where overview <> '' group by 1""",
+    "letters": """
+        select "movieId", title, overview, '["' || array_to_string(genres, '","') || '"]' as genres,
+               'Filme: ' || title || '. Gêneros: ' || array_to_string(genres, ', ') || '. Sinopse: ' || overview as context
+        from input""",
+}
 _NEEDS = {
+    "fresh": ["ratings"],
+    "u0": ["fresh"],
+    **{f"{side}{step}": [f"u{step - 1}" if side == "i" else f"i{step}"] for step in (1, 2, 3) for side in "iu"},
+    "letters": ["input"],
+    "users": ["ratings"],
+    "all_links": ["links"],
+    "all_details": ["all_links"],
+    "all_vectors": ["movies", "all_details"],
     "movies": ["movies_raw"],
     "movies_json": ["movies"],
     "scored": ["ratings"],
@@ -444,8 +571,13 @@ def _with(names: list[str], body: str) -> str:
     return "with " + ", ".join(f"{name} as ({_CTES[name]})" for name in order) + " " + body
 
 
-def _profile_sql() -> str:
-    columns = {
+def _letter_vector(text: str) -> str:
+    counts = ", ".join(f"length({text}) - length(replace({text}, '{chr(c)}', ''))" for c in range(97, 123))
+    return f"[{counts}]"
+
+
+def _profile_sql(ctes: list[str] | None = None, columns: dict[str, list[str]] | None = None) -> str:
+    columns = columns or {
         "movies": ["movieId", "title", "genres", "year"],
         "ratings": ["userId", "movieId", "rating", "timestamp"],
         "tags": ["userId", "movieId", "tag", "timestamp"],
@@ -457,12 +589,13 @@ def _profile_sql() -> str:
         low, high = ("null", "null") if nested else (f'min("{column}")', f'max("{column}")')
         return (
             f"""select '{name}' as "table", '{column}' as "column", count(*) as rows, """
-            f"""count(*) - count("{column}") as nulls, cast({low} as varchar) as "min", """
+            f"""count(*) - count("{column}") as nulls, count(distinct "{column}") as "distinct", """
+            f"""cast({low} as varchar) as "min", """
             f"""cast({high} as varchar) as "max" from {name}"""
         )
 
     parts = [entry_sql(name, column) for name, listed in columns.items() for column in listed]
-    return _with(list(columns), " union all ".join(parts))
+    return _with(ctes or list(columns), " union all ".join(parts))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -575,17 +708,83 @@ def oracle_sql() -> dict[str, str]:
                    || overview as context
             from input""",
         ),
-        "full_refresh": _with(
-            ["ratings", "tags", "resolvable", "input"],
+        "full_refresh": _profile_sql(
+            ["ratings", "tags", "movies", "all_links", "users", "all_details", "all_vectors"],
+            {
+                "movies": ["movieId", "title", "year"],
+                "ratings": ["userId", "movieId", "rating", "timestamp"],
+                "tags": ["userId", "movieId", "tag", "timestamp"],
+                "all_links": ["movieId", "imdbId", "tmdbId"],
+                "users": ["userId"],
+                "all_details": ["movieId", "tmdbId", "overview", "poster_path", "budget", "revenue", "vote_average"],
+                "all_vectors": ["movieId", "title", "overview"],
+            },
+        )
+        .replace("select 'all_", "select '")
+        .replace("select 'users'", "select 'recommendations'"),
+        "bronze_landing": _with(
+            ["movies_raw", "ratings", "links"],
+            """
+            select 'movies' as "table", cast("movieId" as varchar) as c0, title as c1, genres as c2, null::varchar as c3
+            from movies_raw
+            union all
+            select 'ratings', cast("userId" as varchar), cast("movieId" as varchar), cast(rating as varchar),
+                   cast(epoch("timestamp")::bigint as varchar) from ratings
+            union all
+            select 'tags', cast(user_id as varchar), cast(event_id % 2000 as varchar), event_type,
+                   case when event_id % 11 = 0 then 'bad' else cast(floor(epoch(ts))::bigint as varchar) end from events
+            union all
+            select 'links', cast("movieId" as varchar), "imdbId", cast("tmdbId" as varchar), null from links""",
+        ),
+        "als_rank_one": _with(
+            ["u3"],
+            """
+            select 'user' as side, "userId" as id, round(x, 3) as factor from u3
+            union all select 'item', "movieId", round(x, 3) from i3""",
+        ),
+        "recommend_rank_one": _with(
+            ["u3"],
+            """
+            select "userId", place, round(score, 3) as score from (
+                select "userId", score, row_number() over (partition by "userId" order by score desc) as place
+                from (
+                    select "userId", als / log10(n + 9.0) as score
+                    from (
+                        select u3."userId", i3."movieId", u3.x * i3.x as als,
+                               row_number() over (partition by u3."userId" order by u3.x * i3.x desc, i3."movieId") as k
+                        from u3, i3)
+                    join (select "movieId", count(*) as n from ratings group by 1) using ("movieId")
+                    where k <= 50))
+            where place <= 10""",
+        ),
+        "enrich_fetch": _with(
+            ["resolvable"],
             """
-            select 'movies' as "table", count(*) as rows from part
-            union all select 'ratings', count(*) from ratings
-            union all select 'tags', count(*) from tags
-            union all select 'links', count(*) from part
-            union all select 'recommendations',
-                count(distinct "userId") * least(10, count(distinct "movieId")) from ratings
-            union all select 'details', count(*) from resolvable
-            union all select 'vectors', count(*) from input join resolvable using ("movieId")""",
+            select "movieId", "tmdbId",
+                   case when "tmdbId" % 7 = 0 or "tmdbId" % 5 = 0 then '' else 'story ' || "tmdbId" end as overview,
+                   '' as poster_path,
+                   case when "tmdbId" % 7 = 0 or "tmdbId" % 5 = 0 then 0 else "tmdbId"::bigint * 10000000 end as budget,
+                   cast(0 as bigint) as revenue, cast(0 as double) as vote_average
+            from resolvable""",
+        ),
+        "embed_documents": r"""
+            select doc_id, cast(768 as bigint) as dim,
+                   case when regexp_matches(text, '[\p{L}\p{N}]') then 1.0 else 0.0 end::double as norm
+            from documents""",
+        "embed_external": _with(
+            ["letters"], f"""select "movieId", array_to_string({_letter_vector('context')}, ',') as vector from letters"""
+        ),
+        "semantic_search_external": _with(
+            ["letters"],
+            f"""
+            select query_id, "movieId", title, genres, overview, round(raw, 6) as similarity, rank from (
+                select *, row_number() over (partition by query_id order by raw desc nulls last, "movieId") as rank
+                from (
+                    select item_id as query_id, "movieId", title, genres, overview,
+                           round(list_cosine_similarity(q.v::double[], l.v::double[]), 12) as raw
+                    from (select item_id, {_letter_vector('text')} as v from benchmark) q,
+                         (select *, {_letter_vector('context')} as v from letters) l))
+            where rank <= 5""",
         ),
         **LLM_ORACLES,
     }
