@@ -5,16 +5,18 @@ Two documents link when ``100 * intersection >= 80 * union`` over their distinct
 1. *Collapse.* Documents of equal sets share a 128-bit digest; from here on a set stands for all its copies.
 2. *Candidates.* Of each set of n shingles, ordered by hash, the first ``n - ceil(0.8 n) + l`` are probes, with
    ``l = max(1, n // 20)``. Linked sets share at least the l of the smaller among their probes, so a set that shares
-   fewer has no link. A probe is shared when the least and the greatest set holding it differ: a reduction that is
-   combined before the shuffle, whatever the number of copies.
-3. *Global order.* Only candidate sets are shipped whole. Their shingles are ordered by hash, the most frequent probes
-   last, so that a passage which many documents hold is in hardly any prefix. Sets that share a shingle of their
-   prefixes (now ``l = 1``) are joined to the least set holding it; the components of these star edges are clusters,
-   and every link lies inside one.
-4. *Prefix trees.* A block of sets, one cluster or several, is one task's group. Its sets are stored as a tree of their
-   ordered shingles (frequent ones first, so paths are shared), walked once for all sets: partial overlaps are kept
-   for a path and shared by all below it, and a subtree is left out for every set that can no longer reach the
-   threshold with the shingles that remain, or that is already in the same class as all of the subtree.
+   fewer has no link. Probes that several sets of one slice of texts hold are counted there, and only two of the sets
+   announce them to the others, so a probe that every document holds costs two rows per slice.
+3. *Global order.* Only candidate sets are shipped whole. Their shingles are counted: blocks of sets send each distinct
+   shingle once, packed, to the task of its hash range, and get back those that several sets hold. Each set is ordered
+   by count, the rarest first, then hash. Its first ``n - ceil(0.8 n) + 1`` are its prefix; linked sets share one.
+   A set with that many shingles of its own is linked with nothing, and most others share passages only far down.
+   Sets that share a shingle of their prefixes are joined to the least set holding it; the components of these star
+   edges are clusters, and every link lies inside one.
+4. *Prefix trees.* A block of sets, a cluster, is one task's group. Its sets are stored as a tree of their ordered
+   shingles (frequent ones first, so paths are shared), walked once for all sets: partial overlaps are kept for a path
+   and shared by all below it, and a subtree is left out for every set that can no longer reach the threshold with the
+   shingles that remain, or that is already in the same class as all of the subtree.
 5. *Large clusters.* A cluster above ``BLOCK_SETS`` or ``BLOCK_SHINGLES`` is dealt out in salted blocks, the classes
    found are contracted, and their least members are joined again. What is left are shingles whose holders are in
    different classes still: the holders of each form a block (all pairs of its parts, when it is too large for one).
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +46,8 @@ from lakerec.session import stored
 WIDTH = 5
 BLOCK_SETS = 2_000
 BLOCK_SHINGLES = 1_000_000
-HOT_SHINGLES = 10_000  # how many shingles go last by name; 16 bytes each, so the list is small at any size of input
-HOT_COUNT = 50
+COUNT_BLOCK = 4 << 20  # bytes of sets that count their shingles together
+COUNT_RANGE = 2_000_000  # shingles that one task counts, about
 
 
 def least_overlap(n: int) -> int:
@@ -62,94 +65,239 @@ def digest(values: np.ndarray) -> bytes:
     return b"".join(s.to_bytes(8, "big") for s in sums)
 
 
+def _mark(cls: bytes) -> int:
+    return int.from_bytes(cls[:8], "big", signed=True)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high, data, bounds in T.slices(batch.column(1)):
             sets = T.shingles(data, bounds, WIDTH)
-            sizes = [len(s) for s in sets]
-            probes = [s[: len(s) - least_overlap(len(s)) + spare(len(s))] if len(s) else s for s in sets]
-            flat = np.concatenate(probes).view(np.int64) if probes else np.zeros(0, np.int64)
-            offsets = np.cumsum([0, *map(len, probes)]).astype(np.int32)
+            digests = [digest(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
-                    pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array(sizes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array(digests, pa.binary()),
+                    pa.array([d and _mark(d) for d in digests], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
                 ],
-                names=["doc_id", "cls", "n_shingles", "probes"],
+                names=["doc_id", "cls", "mark", "n_shingles"],
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``(doc_id, cls, n_shingles, probes)`` per row of ``docs (doc_id, text)``; ``cls`` is null for an empty set."""
+    """``(doc_id, cls, mark, n_shingles)`` per row of ``docs (doc_id, text)``; ``cls`` is null for an empty set.
+
+    ``mark`` is half of the digest and only serves to count.
+    """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return source.mapInArrow(_signatures, "doc_id bigint, cls binary, n_shingles bigint, probes array<bigint>")
+    return source.mapInArrow(_signatures, "doc_id bigint, cls binary, mark bigint, n_shingles bigint")
 
 
-def candidates(signed: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The candidate sets ``(cls, doc_id)``, with one document of each, and the hot probes, the hottest last."""
-    probes = signed.where("cls is not null").select(
-        "cls", "n_shingles", F.hash("cls").alias("mark"), F.explode("probes").alias("h")
-    )
-    shared = stored(
-        probes.groupBy("h")
-        .agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.count("*").alias("n"))
-        .where("low <> high")
-        .select("h", "n"),
-        "shared-probes",
-    )
-    hot = shared.where(F.col("n") >= HOT_COUNT).orderBy(F.desc("n"), "h").limit(HOT_SHINGLES)
-    hottest = [row.h for row in hot.collect()][::-1]
-    found = signed.where("cls is not null").select("doc_id", "cls", "n_shingles", F.explode("probes").alias("h"))
-    counted = (
-        found.join(shared.select("h"), "h").groupBy("cls", "doc_id", "n_shingles").agg(F.count("*").alias("shared"))
-    )
-    # The least number of spare probes of any partner, which has 4/5 of the shingles or more. Repeated rows of one
-    # document only count its probes again, which keeps it in.
+def _announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(h, mark, counted)``: ``counted`` 1 asks whether other sets hold probe h, 0 only tells others of it; with h null
+    it is a number of probes that this slice has found shared already."""
+    for batch in batches:
+        for _, _, data, bounds in T.slices(batch.column(0)):
+            sets = {digest(s): s for s in T.shingles(data, bounds, WIDTH) if len(s)}
+            if not sets:
+                continue
+            probes = [s[: len(s) - least_overlap(len(s)) + spare(len(s))] for s in sets.values()]
+            marks = np.array([_mark(d) for d in sets], dtype=np.int64)
+            owner = np.repeat(np.arange(len(probes)), [len(p) for p in probes])
+            values, first, inverse, count = np.unique(
+                np.concatenate(probes), return_index=True, return_inverse=True, return_counts=True
+            )
+            own = np.bincount(owner[count[inverse] > 1], minlength=len(probes))
+            last = np.zeros(len(values), dtype=np.int64)
+            last[inverse] = np.arange(len(inverse))
+            single = count == 1
+            h = np.concatenate([values[single], values[~single], values[~single]]).view(np.int64)
+            told = np.concatenate([owner[first[single]], owner[first[~single]], owner[last[~single]]])
+            counted = np.concatenate([np.ones(single.sum()), np.zeros(2 * (~single).sum())]).astype(np.int32)
+            found = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.array(h), pa.nulls(len(found), pa.int64())]),
+                    pa.array(np.concatenate([marks[told], marks[found]])),
+                    pa.array(np.concatenate([counted, own[found].astype(np.int32)])),
+                ],
+                names=["h", "mark", "counted"],
+            )
+
+
+def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_announce`` sorted by probe: ``(mark, n)`` for the probes that two different sets hold."""
+    held: np.ndarray | None = None  # the rows of a probe that the next batch may go on with
+    shared_before: tuple[int, int] | None = None  # a probe known to be shared, when its rows go on
+
+    def count(h: np.ndarray, mark: np.ndarray, counted: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = h[1:] != h[:-1]
+        run = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        differs = np.zeros(len(first), dtype=bool)
+        differs[run[mark != mark[first][run]]] = True
+        if shared_before is not None and h[0] == shared_before[0]:
+            differs[0] = True
+        hit = mark[differs[run] & (counted == 1)]
+        marks, n = np.unique(hit, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(marks), pa.array(n)], names=["mark", "n"])
+
+    for batch in batches:
+        told = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], dtype=np.int64)
+        known = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+        if known.any():
+            yield pa.RecordBatch.from_arrays([pa.array(told[0, known]), pa.array(told[1, known])], names=["mark", "n"])
+        h = batch.column(0).drop_null().to_numpy()
+        rows = np.vstack([h, told[:, ~known]])
+        rows = rows if held is None else np.hstack([held, rows])
+        if not rows.shape[1]:
+            continue
+        # Hold the last probe back; of a long run one row of each of two sets is enough to go on with.
+        cut = int(np.searchsorted(rows[0], rows[0, -1]))
+        if cut:
+            yield count(*rows[:, :cut])
+            shared_before = None
+        held = rows[:, cut:]
+        if held.shape[1] > 100_000 and (held[1] != held[1, 0]).any():
+            yield count(*held)
+            shared_before = (int(held[0, 0]), int(held[1, 0]))
+            held = held[:, -1:].copy()
+            held[2] = 0
+    if held is not None and held.shape[1]:
+        yield count(*held)
+
+
+def candidates(docs: DataFrame, signed: DataFrame) -> DataFrame:
+    """``(cls, doc_id)`` of the candidate sets of ``docs (text)``, with one document of each."""
+    rows = docs.select("text").mapInArrow(_announce, "h bigint, mark bigint, counted int")
+    rows = rows.repartition("h", F.when(F.col("h").isNull(), F.col("mark"))).sortWithinPartitions("h", "mark")
+    counted = rows.mapInArrow(_count_shared, "mark bigint, n bigint").groupBy("mark").agg(F.sum("n").alias("shared"))
+    # The least number of spare probes of any partner, which has 4/5 of the shingles or more. A set met in several
+    # slices counts its probes several times, which keeps it in.
     enough = F.greatest(F.lit(1), F.expr("((4 * n_shingles + 4) div 5) div 20"))
-    one = counted.where(F.col("shared") >= enough).groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    return one, hottest
+    one = signed.where("cls is not null").groupBy("cls", "mark", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    return one.join(counted, "mark").where(F.col("shared") >= enough).select("cls", "doc_id")
 
 
-def ordered_sets(docs: DataFrame, chosen: DataFrame, hottest: list[int]) -> DataFrame:
-    """``(cls, n, shingles, prefix)`` of the candidate sets, in the global order: by hash, hot shingles last."""
-    hot = np.array(hottest, dtype=np.int64).view(np.uint64)
-    hot_order = np.argsort(hot, kind="stable")
-    hot_sorted = hot[hot_order]
+_SETS = "id bigint, block bigint, cls binary, n bigint, shingles binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low, high, data, bounds in T.slices(batch.column(1)):
-                wanted = batch.column(0).slice(low, high - low).to_pylist()
-                rows = []
-                for cls, values in zip(wanted, T.shingles(data, bounds, WIDTH)):
-                    if not len(values) or digest(values) != cls:
-                        continue  # another text with the same id
-                    at = np.minimum(np.searchsorted(hot_sorted, values), max(0, len(hot_sorted) - 1))
-                    is_hot = hot_sorted[at] == values if len(hot_sorted) else np.zeros(len(values), bool)
-                    last = values[is_hot][np.argsort(hot_order[at[is_hot]])] if is_hot.any() else values[:0]
-                    values = np.concatenate([values[~is_hot], last])
-                    prefix = values[: len(values) - least_overlap(len(values)) + 1]
-                    rows.append((cls, len(values), values.tobytes(), prefix.view(np.int64)))
-                if rows:
-                    columns = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(columns[0], pa.binary()),
-                            pa.array(columns[1], pa.int64()),
-                            pa.array(columns[2], pa.binary()),
-                            pa.array(columns[3], pa.list_(pa.int64())),
-                        ],
-                        names=["cls", "n", "shingles", "prefix"],
-                    )
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, number, block, size = TaskContext.get().partitionId(), 0, 0, 0
+    for batch in batches:
+        for low, high, data, bounds in T.slices(batch.column(1)):
+            wanted = batch.column(0).slice(low, high - low).to_pylist()
+            rows = []
+            for cls, values in zip(wanted, T.shingles(data, bounds, WIDTH)):
+                if not len(values) or digest(values) != cls:
+                    continue  # another text with the same id
+                if size > COUNT_BLOCK:
+                    block, size = block + 1, 0
+                rows.append((part << 33 | number, part << 33 | block, cls, len(values), values.tobytes()))
+                number, size = number + 1, size + 8 * len(values)
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[c.split()[0] for c in _SETS.split(", ")]
+                )
+
+
+def whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``_SETS`` of the candidates, to be stored. Repeated rows of a document give its set more than once."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    matched = chosen.withColumnRenamed("doc_id", "id").join(
-        source, F.col("id").eqNullSafe(F.col("doc_id"))
+    matched = chosen.withColumnRenamed("doc_id", "id").join(source, F.col("id").eqNullSafe(F.col("doc_id")))
+    return matched.select("cls", "text").mapInArrow(_sets, _SETS)
+
+
+def _pack_by_range(ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``(block, shingles)``: a block's distinct shingles and how many of its sets hold each, by hash range."""
+
+        def packed(block: int, parts: list[bytes]) -> pa.RecordBatch:
+            values, counts = np.unique(np.frombuffer(b"".join(parts), dtype=np.uint64), return_counts=True)
+            place = (values >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+            cuts = np.searchsorted(place, np.arange(ranges + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            counts = counts.astype(np.int32)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(full.astype(np.int32)),
+                    pa.array([block] * len(full), pa.int64()),
+                    pa.array([values[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+                    pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+                ],
+                names=["range", "block", "shingles", "counts"],
+            )
+
+        current, parts = None, []
+        for batch in batches:
+            for block, shingles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if block != current and parts:
+                    yield packed(current, parts)
+                    parts = []
+                current = block
+                parts.append(shingles)
+        if parts:
+            yield packed(current, parts)
+
+    return run
+
+
+def _count_range(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Of one hash range: to each block those of its shingles that two sets or more hold, with the number of sets."""
+    blocks = table["block"].to_pylist()
+    values = [np.frombuffer(v, dtype=np.uint64) for v in table["shingles"].to_pylist()]
+    counts = np.concatenate([np.frombuffer(c, dtype=np.int32) for c in table["counts"].to_pylist()])
+    distinct, inverse = np.unique(np.concatenate(values), return_inverse=True)
+    total = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
+    rows, at = [], 0
+    for block, own in zip(blocks, values):
+        held = total[at : at + len(own)]
+        at += len(own)
+        often = held > 1
+        rows.append((block, own[often].tobytes(), np.minimum(held[often], 2**31 - 1).astype(np.int32).tobytes()))
+    kinds = [pa.int64(), pa.binary(), pa.binary()]
+    names = ["block", "common", "holders"]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+
+_ORDERED = "id bigint, cls binary, n bigint, shingles binary, prefix array<bigint>"
+
+
+def _order_block(key: tuple[pa.Scalar, ...], sets: pa.Table, replies: pa.Table) -> pa.Table:
+    common = np.frombuffer(b"".join(replies["common"].to_pylist()), dtype=np.uint64)
+    holders = np.frombuffer(b"".join(replies["holders"].to_pylist()), dtype=np.int32)
+    by_value = np.argsort(common)
+    common, holders = common[by_value], holders[by_value]
+    rows = []
+    columns = [sets[c].to_pylist() for c in ("id", "cls", "n", "shingles")]
+    for number, cls, n, shingles in zip(*columns):
+        values = np.frombuffer(shingles, dtype=np.uint64)
+        at = np.minimum(np.searchsorted(common, values), max(0, len(common) - 1))
+        met = common[at] == values if len(common) else np.zeros(n, dtype=bool)
+        own = n - int(met.sum())  # shingles of this set alone come first
+        left = n - least_overlap(n) + 1 - own
+        if left > 0 and own < n:
+            shared = values[met]
+            order = np.lexsort((shared, holders[at[met]]))
+            rows.append((number, cls, n, shingles, shared[order[:left]].view(np.int64)))
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    names = [c.split()[0] for c in _ORDERED.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+
+def ordered_sets(sets: DataFrame) -> DataFrame:
+    """``_ORDERED`` of those stored ``sets`` that share a shingle of their prefix with another, as far as they know."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    ranges = max(1, -(-total // COUNT_RANGE))
+    sent = sets.select("block", "shingles").mapInArrow(
+        _pack_by_range(ranges), "range int, block bigint, shingles binary, counts binary"
     )
-    sets = matched.select("cls", "text").mapInArrow(run, "cls binary, n bigint, shingles binary, prefix array<bigint>")
-    return sets.dropDuplicates(["cls"])
+    replies = sent.groupBy("range").applyInArrow(_count_range, "block bigint, common binary, holders binary")
+    return sets.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_order_block, _ORDERED)
 
 
 class Classes:
@@ -233,22 +381,22 @@ def tree_join(sets: list[np.ndarray], start: np.ndarray | None = None) -> np.nda
 
 
 def _join_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(block, cls, known, shingles)`` sorted by block: links ``(a, b)`` from each set to its class."""
+    """Rows ``(block, id, known, shingles)`` sorted by block: links ``(a, b)`` from each set to its class."""
 
     def links(rows: list[tuple]) -> pa.RecordBatch:
         names = sorted({row[0] for row in rows})
         place = {name: i for i, name in enumerate(names)}
         data: list = [None] * len(names)
         known: list = [None] * len(names)
-        for cls, before, shingles in rows:
-            data[place[cls]] = np.frombuffer(shingles, dtype=np.uint64)
-            known[place[cls]] = before
+        for name, before, shingles in rows:
+            data[place[name]] = np.frombuffer(shingles, dtype=np.uint64)
+            known[place[name]] = before
         seen: dict = {}
         start = np.array([seen.setdefault(k, i) if k is not None else i for i, k in enumerate(known)])
         label = tree_join(data, start)
         new = [i for i in range(len(names)) if label[i] != start[i]]
         return pa.RecordBatch.from_arrays(
-            [pa.array([names[i] for i in new], pa.binary()), pa.array([names[label[i]] for i in new], pa.binary())],
+            [pa.array([names[i] for i in new], pa.int64()), pa.array([names[label[i]] for i in new], pa.int64())],
             names=["a", "b"],
         )
 
@@ -265,69 +413,80 @@ def _join_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def join_blocks(blocks: DataFrame) -> DataFrame:
-    """Links found in each block of ``(block, cls, known, shingles)``."""
-    rows = blocks.select("block", "cls", "known", "shingles").repartition("block").sortWithinPartitions("block")
-    return rows.mapInArrow(_join_blocks, "a binary, b binary")
+    """Links found in each block of ``(block, id, known, shingles)``."""
+    rows = blocks.select("block", "id", "known", "shingles").repartition("block").sortWithinPartitions("block")
+    return rows.mapInArrow(_join_blocks, "a bigint, b bigint")
+
+
+def _with_class(sets: DataFrame, links: DataFrame) -> DataFrame:
+    roots = components(links).select(F.col("node").alias("id"), F.col("root").alias("class"))
+    return sets.join(roots, "id", "left").withColumn("class", F.coalesce("class", "id"))
 
 
 def set_links(sets: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between stored sets ``(cls, n, shingles, prefix)`` that connect every class."""
-    holding = sets.select("cls", F.explode("prefix").alias("h"))
-    met = holding.groupBy("h").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most")
-    met = stored(holding.join(met.select("h", "least"), "h"), "met")
-    clusters = components(met.where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b")).distinct())
-    placed = stored(sets.join(clusters.select(F.col("node").alias("cls"), "root"), "cls").drop("prefix"), "clusters")
-    sizes = placed.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("total"))
-    parts = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES))
-    sizes = stored(sizes.withColumn("parts", parts), "cluster-sizes")
-    none = F.lit(None).cast("binary")
-    dealt = placed.join(sizes.select("root", "parts"), "root")
-    salt = F.pmod(F.xxhash64("cls"), F.col("parts"))
-    blocks = dealt.select(F.struct("root", salt.alias("part")).alias("key"), "cls", none.alias("known"), "shingles")
-    links = stored(join_blocks(blocks.withColumn("block", F.to_json("key"))), "links")
-    if sizes.where("parts > 1").isEmpty():
+    """Links ``(a, b)`` of ids that connect every class of stored sets ``(id, n, shingles, prefix)``.
+
+    Sets that link must share a value of their prefixes.
+    """
+    holding = sets.select("id", F.explode("prefix").alias("h"))
+    least = holding.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
+    met = stored(holding.join(least.select("h", "least"), "h"), "met")
+    clusters = components(met.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct())
+    placed = sets.select("id", "n").join(clusters.withColumnRenamed("node", "id"), "id")
+    placed = stored(placed, "clusters")
+    parts = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    totals = [F.count("*").alias("sets"), F.sum("n").alias("total")]
+    sizes = stored(placed.groupBy("root").agg(*totals).select("root", parts.alias("parts")), "cluster-sizes")
+    none = F.lit(None).cast("bigint")
+
+    def salted(rows: DataFrame, salt: int) -> DataFrame:
+        """Links of rows ``(id, root, parts)`` in blocks of their cluster."""
+        part = F.pmod(F.xxhash64("id", F.lit(salt)), F.col("parts"))
+        dealt = rows.select("id", F.concat_ws(":", "root", part).alias("block"), none.alias("known"))
+        return join_blocks(sets.select("id", "shingles").join(dealt, "id"))
+
+    links = stored(salted(placed.join(sizes, "root"), 0), "links")
+    large = stored(placed.join(sizes.where("parts > 1").select("root"), "root", "left_semi"), "large")
+    if large.isEmpty():
         return links
-    large = placed.join(sizes.where("parts > 1").select("root"), "root", "left_semi")
-    large = stored(large.select("root", "cls", "n", "shingles"), "large")
     # Contract: the least members of the classes found so far meet again.
-    least = _with_class(large, links).where("cls = class")
-    counts = least.groupBy("root").agg(F.count("*").alias("sets"), F.sum("n").alias("total"))
-    least = least.join(counts.withColumn("parts", parts).select("root", "parts"), "root")
-    salt = F.pmod(F.xxhash64(F.col("cls"), F.lit(1)), F.col("parts"))
-    blocks = least.select(F.struct("root", salt.alias("part")).alias("key"), "cls", none.alias("known"), "shingles")
-    links = stored(links.union(join_blocks(blocks.withColumn("block", F.to_json("key")))), "links")
+    heads = _with_class(large, links).where("id = class").drop("class")
+    counts = heads.groupBy("root").agg(*totals).select("root", parts.alias("parts"))
+    links = stored(links.union(salted(heads.join(counts, "root"), 1)), "links")
     # What is left: shingles whose holders are in different classes.
-    classed = stored(_with_class(large, links), "classed")
-    open_rows = met.select("h", "cls").join(classed.select("cls", "class", "n"), "cls")
-    mixed = open_rows.groupBy("h").agg(
-        F.min("class").alias("c0"), F.max("class").alias("c1"), F.count("*").alias("sets"), F.sum("n").alias("total")
-    )
-    mixed = mixed.where("c0 <> c1").withColumn("parts", parts.cast("int")).select("h", "parts")
-    ways = open_rows.join(mixed, "h").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    classed = _with_class(large, links)
+    open_rows = stored(met.select("h", "id").join(classed.select("id", "class", "n"), "id"), "open")
+    mixed = open_rows.groupBy("h").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), *totals)
+    mixed = mixed.where("c0 <> c1").select("h", parts.alias("parts"))
+    ways = open_rows.join(mixed, "h").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     # Part i meets every part j in block (min, max); with one part that is one block.
-    ways = ways.select("h", "cls", "class", "part", F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
+    ways = ways.select("h", "id", "class", "part", F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
     ways = ways.select(
         F.concat_ws(":", "h", F.least("part", "other"), F.greatest("part", "other")).alias("block"),
-        "cls", F.col("class").alias("known"),
+        "id",
+        F.col("class").alias("known"),
     )
-    rest = join_blocks(ways.join(large.select("cls", "shingles"), "cls"))
-    return stored(links.union(rest), "links")
+    return stored(links.union(join_blocks(ways.join(sets.select("id", "shingles"), "id"))), "links")
 
 
-def _with_class(sets: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links).select(F.col("node").alias("cls"), F.col("root").alias("class"))
-    return sets.join(roots, "cls", "left").withColumn("class", F.coalesce("class", "cls"))
+def set_classes(sets: DataFrame) -> DataFrame:
+    """``(cls, root)`` of the digests of stored sets ``(id, cls, n, shingles, prefix)`` that link with another."""
+    roots = components(set_links(sets)).withColumnRenamed("node", "id")
+    # A set that was there more than once has ids of one class.
+    return sets.select("id", "cls").join(roots, "id").groupBy("cls").agg(F.min("root").alias("root"))
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs (doc_id, text)``."""
     signed = stored(signatures(docs), "signatures")
-    chosen, hottest = candidates(signed)
-    sets = stored(ordered_sets(docs, stored(chosen, "candidates"), hottest), "sets")
-    roots = components(set_links(sets)).select(F.col("node").alias("cls"), "root")
+    sets = stored(whole_sets(docs, stored(candidates(docs, signed), "candidates")), "sets")
+    roots = set_classes(stored(ordered_sets(sets), "ordered"))
     rows = signed.select("doc_id", "cls", "n_shingles").join(roots, "cls", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "cls"))
-    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "root", "left").select(
+    group = F.when(F.col("root").isNull(), F.col("cls"))
+    rows = rows.withColumn("group", F.struct("root", group.alias("cls")))
+    least = rows.where("cls is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
+    least = least.select(F.col("group.root").alias("r"), F.col("group.cls").alias("c"), "least")
+    same = F.col("group.root").eqNullSafe(F.col("r")) & F.col("group.cls").eqNullSafe(F.col("c"))
+    return rows.join(least, same & F.col("cls").isNotNull(), "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )

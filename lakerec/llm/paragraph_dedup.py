@@ -32,8 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
-from lakerec.llm.components import components
-from lakerec.llm.ngram_join import WIDTH, digest, set_links
+from lakerec.llm.ngram_join import WIDTH, digest, set_classes
 from lakerec.llm.suffix_dedup import text_hashes
 from lakerec.session import stored
 
@@ -153,10 +152,10 @@ def classes(docs: DataFrame, bands: int | None = None, rows: int = ROWS) -> Data
     )
     sets = wanted.join(source, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "wanted")
     sets = sets.mapInArrow(_whole_sets(bands, rows), "cls binary, n bigint, shingles binary, prefix array<bigint>")
-    links = set_links(stored(sets.dropDuplicates(["cls"]), "paragraph-shingles"))
-    roots = components(links).select(F.col("node").alias("cls"), "root")
+    roots = set_classes(stored(sets.withColumn("id", F.monotonically_increasing_id()), "paragraph-shingles"))
     found = signed.select("doc_id", "mark", "line", "cls").join(roots, "cls", "left")
-    return stored(found.select("doc_id", "mark", "line", F.coalesce("root", "cls").alias("class")), "paragraph-classes")
+    name = F.concat_ws(":", "root", F.when(F.col("root").isNull(), F.hex("cls")))
+    return stored(found.select("doc_id", "mark", "line", name.alias("class")), "paragraph-classes")
 
 
 def removals(found: DataFrame) -> DataFrame:
