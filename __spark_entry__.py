@@ -509,7 +509,7 @@ _CTES |= {
     "u0": """select distinct "userId", 1.0::double as x from fresh""",
     **{
         name: f"""
-        select f."{wanted}", greatest(0.0, sum(r * x) / (sum(x * x) + 0.1 * count(*))) as x
+        select f."{wanted}", greatest(0.0, sum(r * x) / (sum(x * x) + 0.1 * count(*)))::float::double as x
         from fresh f join {known} k on f."{other}" = k."{other}" group by 1"""
         for step in (1, 2, 3)
         for name, wanted, known, other in (
