@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerec.llm import ann, bpe, chat, mixing, ngram_join, paragraph_dedup, quality, records, suffix_dedup, warc
+from lakerec.llm.oracles import ORACLES  # noqa: F401  (read by the driver entry)
 from lakerec.session import new_scratch, stored
 
 
@@ -50,7 +51,7 @@ def op5_binary_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffix_dedup.removed(table(spark, sf, "documents").select("doc_id", "text")).drop("kept_text")
+    return suffix_dedup.removed(table(spark, sf, "documents").select("doc_id", "text"), texts=False).drop("kept_text")
 
 
 def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,4 +96,4 @@ QUERIES = {
     "op9_bpe_encoding": op9_bpe_encoding,
     "op10_chat_formatting": op10_chat_formatting,
 }
-ORACLES: dict[str, str] = {}
+
