@@ -6,7 +6,7 @@ judged on the input and never cross texts.
 1. *Buckets.* The suffixes to compare are those that start a whole string, one per byte. Each is filed under the least
    ``GRAM``-byte gram (by hash, leftmost first) inside its first ``SPAN`` bytes, its anchor. Equal strings have equal
    anchors at equal offsets, so only suffixes of one bucket (anchor gram, offset) can be equal. The suffixes of one
-   anchor follow each other in the text; their union, a stretch of about 540 bytes, is one row.
+   anchor follow each other in the text; their union, a stretch of about 570 bytes, is one row.
 2. *Whole stretches.* A stretch whose hash occurs twice is repeated as a whole. Anchors of a single stretch are unique
    text. Both are decided by counting, combined before the shuffle, however many copies there are.
 3. *Suffix sort.* Anchors with several different stretches, the borders of repeats, get the bytes of one stretch of
@@ -38,7 +38,7 @@ from lakerec.llm import text as T
 from lakerec.session import stored
 
 SPAN = 400
-GRAM = 128
+GRAM = 64
 BUCKET = 2_000
 PIECE = 1 << 20
 PLACE_BITS = 21
@@ -258,100 +258,149 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield solve(rows)
 
 
+_STRETCHES = (
+    "bucket string, parts int, doc_id bigint, mark bigint, kind bigint, copies bigint, low int, high int, anchor int, "
+    "stretch binary"
+)
+
+
 def _cut_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(doc_id, text, wanted)``: the bytes of each wanted stretch."""
+    """Rows ``(key, mark, text, wanted)``: the bytes of each wanted stretch."""
     for batch in batches:
         rows = []
-        for low, high, data, bounds in T.slices(batch.column(1)):
-            marks = text_hashes(data, bounds).tolist()
-            ids = batch.column(0).slice(low, high - low).to_pylist()
-            for i, wanted in enumerate(batch.column(2).slice(low, high - low).to_pylist()):
-                for w in wanted:
-                    if w["mark"] == marks[i]:
-                        at = int(bounds[i])
-                        stretch = data[at + w["low"] : at + w["high"] + SPAN].tobytes()
-                        rows.append((w["bucket"], w["parts"], ids[i], w["mark"], w["kind"], w["copies"], w["low"], w["high"], w["anchor"], stretch))
+        marks = batch.column(1).to_pylist()
+        ids = batch.column(0).to_pylist()
+        bodies, bounds = T.as_bytes(batch.column(2))
+        for i, wanted in enumerate(batch.column(3).to_pylist()):
+            for w in wanted or ():
+                if w["mark"] == marks[i]:
+                    at = int(bounds[i])
+                    stretch = bodies[at + w["low"] : at + w["high"] + SPAN].tobytes()
+                    rows.append((w["bucket"], w["parts"], ids[i], w["mark"], w["kind"], w["copies"], w["low"], w["high"], w["anchor"], stretch))
         if rows:
             kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                names=["bucket", "parts", "doc_id", "mark", "kind", "copies", "low", "high", "anchor", "stretch"],
-            )
+            names = [c.split()[0] for c in _STRETCHES.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(doc_id, mark, low, high)``: repeated byte ranges of ``docs (doc_id, text)``, overlapping and unmerged."""
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    anchors = stored(source.mapInArrow(_anchors, _ANCHORS), "anchors")
+def _first_spans(source: DataFrame) -> DataFrame:
+    """``(id, wanted, spans)`` of each text with a shared anchor: stretches to sort, and spans that counting decides."""
+    anchors = stored(source.select("key", "text").mapInArrow(_anchors, _ANCHORS), "anchors")
     grams = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.min("kind").alias("k0"), F.max("kind").alias("k1"))
     shared = grams.where("n > 1").select("gram", (F.col("k0") != F.col("k1")).alias("mixed"))
     met = stored(anchors.join(shared, "gram"), "shared-anchors")
-    whole = met.where("not mixed").select("doc_id", "mark", "low", (F.col("high") + SPAN).alias("high"))
+    span = F.struct("mark", "low", (F.col("high") + SPAN).alias("high"))
+    whole = met.where("not mixed").select("doc_id", span.alias("span"))
     one = F.min(F.struct("doc_id", "mark", "low", "high", "anchor")).alias("one")
     kinds = stored(met.where("mixed").groupBy("gram", "kind").agg(F.count("*").alias("copies"), one), "kinds")
     often = met.where("mixed").join(kinds.where("copies > 1").select("gram", "kind"), ["gram", "kind"])
-    often = often.select("doc_id", "mark", "low", (F.col("high") + SPAN).alias("high"))
     hot = kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET)
     hot = hot.select("gram", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts"))
     parts = kinds.join(hot, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     bucket = F.concat_ws(":", "gram", F.pmod(F.xxhash64("kind"), F.col("parts")))
-    wanted = parts.select(
-        F.col("one.doc_id").alias("id"),
-        F.struct(bucket.alias("bucket"), "parts", "one.mark", "kind", "copies", "one.low", "one.high", "one.anchor").alias("w"),
-    )
-    wanted = wanted.groupBy("id").agg(F.collect_list("w").alias("wanted"))  # a text's own stretches
-    cut = wanted.join(source, F.col("id").eqNullSafe(F.col("doc_id"))).select("doc_id", "text", "wanted")
-    cut = cut.mapInArrow(
-        _cut_stretches,
-        "bucket string, parts int, doc_id bigint, mark bigint, kind bigint, copies bigint, low int, high int, anchor int, "
-        "stretch binary",
+    wanted = F.struct(bucket.alias("bucket"), "parts", "one.mark", "kind", "copies", "one.low", "one.high", "one.anchor")
+    rows = whole.union(often.select("doc_id", span)).withColumn("wanted", F.lit(None).cast(parts.select(wanted).schema[0].dataType))
+    rows = rows.union(parts.select("one.doc_id", F.lit(None).cast(rows.schema["span"].dataType), wanted))
+    # Lists of one text's own stretches; collect_list leaves nulls out.
+    return rows.groupBy(F.col("doc_id").alias("id")).agg(
+        F.collect_list("wanted").alias("wanted"), F.collect_set("span").alias("spans")
     )
+
+
+def _later_spans(touched: DataFrame) -> DataFrame:
+    """``(doc_id, mark, low, high)`` found by sorting the wanted stretches of stored ``touched`` texts."""
+    cut = touched.where("size(wanted) > 0").select("key", "mark", "text", "wanted").mapInArrow(_cut_stretches, _STRETCHES)
     sorted_rows = cut.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, _SORTED)
     sorted_rows = stored(sorted_rows, "sorted")
-    spans = whole.union(often).union(sorted_rows.where("string is null").drop("string"))
     strings = sorted_rows.where("string is not null")
     across = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
     # A string that several texts of one part share has one row there; the others of that part are decided already.
-    return spans.union(strings.join(across, "string").drop("string"))
+    return sorted_rows.where("string is null").drop("string").union(strings.join(across, "string").drop("string"))
+
+
+_FIELDS = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
+NEW = [c.split()[0] for c in _FIELDS.split(", ")]
+
 
+def _cut_out(body: bytes, spans: list[tuple[int, int]], texts: bool) -> tuple:
+    """The fields of a text without ``spans``; the rest itself only if ``texts``."""
+    kept, at, gone, runs, last = [], 0, 0, 0, -1
+    for begin, end in sorted(spans):
+        if begin > last:
+            kept.append(body[at:begin])
+            runs += 1
+            gone += end - begin
+        elif end > last:
+            gone += end - last
+        last = max(last, end)
+        at = last
+    kept.append(body[at:])
+    rest = b"".join(kept)
+    text = rest.decode("utf-8", "ignore") if texts else None
+    return len(body), gone, runs, hashlib.sha256(rest).hexdigest(), text
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+
+
+def _sort_out(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
+    """Rows ``(key, row, text, wanted, spans)``: with ``mark``, and done with if no stretch of the text is to be sorted."""
     for batch in batches:
-        for low, high, data, bounds in T.slices(batch.column(1)):
+        for low, high, data, bounds in T.slices(batch.column(2)):
+            count = high - low
             marks = text_hashes(data, bounds).tolist()
+            wanted = batch.column(3).slice(low, count)
             rows = []
-            for i, spans in enumerate(batch.column(2).slice(low, high - low).to_pylist()):
+            for i, (asked, spans) in enumerate(zip(wanted.to_pylist(), batch.column(4).slice(low, count).to_pylist())):
                 body = data[bounds[i] : bounds[i + 1]].tobytes()
-                kept, at, removed, runs, last = [], 0, 0, 0, -1
-                for begin, end in sorted((s["low"], s["high"]) for s in spans or () if s["mark"] == marks[i]):
-                    if begin > last:
-                        kept.append(body[at:begin])
-                        runs += 1
-                        removed += end - begin
-                    elif end > last:
-                        removed += end - last
-                    last = max(last, end)
-                    at = last
-                kept.append(body[at:])
-                rest = b"".join(kept)
-                rows.append((len(body), removed, runs, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                if any(w["mark"] == marks[i] for w in asked or ()):
+                    rows.append((None,) * 5)
+                else:
+                    own = [(s["low"], s["high"]) for s in spans or () if s["mark"] == marks[i]]
+                    rows.append(_cut_out(body, own, texts))
+            still = pa.array([low + i if r[0] is None else None for i, r in enumerate(rows)], pa.int64())
+            text = batch.column(2).take(still)  # null where the text is done with
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low)] + [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
+                [batch.column(i).slice(low, count) for i in (0, 1)] + [pa.array(marks, pa.int64()), text]
+                + [batch.column(i).slice(low, count) for i in (3, 4)] + _columns(rows),
+                names=["key", "row", "mark", "text", "wanted", "spans", *NEW],
             )
 
 
-def removed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_bytes, n_removed, n_spans, kept_sha256, kept_text``; every row of ``docs`` is kept."""
-    spans = repeated_spans(docs).distinct()
-    spans = spans.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("mark", "low", "high")).alias("__spans"))
+def _finish(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
+    """Rows ``(row, mark, text, spans, more)`` of texts whose stretches have been sorted."""
+    for batch in batches:
+        bodies, bounds = T.as_bytes(batch.column(2))
+        rows = []
+        columns = (batch.column(i).to_pylist() for i in (1, 3, 4))
+        for i, (mark, spans, more) in enumerate(zip(*columns)):
+            own = [(s["low"], s["high"]) for s in [*(spans or ()), *(more or ())] if s["mark"] == mark]
+            rows.append(_cut_out(bodies[bounds[i] : bounds[i + 1]].tobytes(), own, texts))
+        if rows:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_columns(rows)], names=["row", *NEW])
+
+
+def removed(docs: DataFrame, texts: bool = True) -> DataFrame:
+    """``docs`` with ``NEW`` in the place of the text; every row of ``docs`` is kept. ``kept_text`` is null without ``texts``.
+
+    All texts are shuffled once, to meet what is known of them; only those with stretches to sort are kept and
+    shuffled again.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    source = docs.select(F.col("doc_id").cast("bigint").alias("__key"), row.alias("row"), "text")
-    joined = source.join(spans, F.col("__key").eqNullSafe(F.col("__id")), "left").select("row", "text", "__spans")
-    kind = joined.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(
-        _remove, f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
+    source = docs.select(F.col("doc_id").cast("bigint").alias("key"), row.alias("row"), "text")
+    first = _first_spans(source)
+    joined = source.join(first, F.col("key").eqNullSafe(F.col("id")), "left").select("key", "row", "text", "wanted", "spans")
+    kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
+    held = f"key bigint, row {kinds['row']}, mark bigint, text string, wanted {kinds['wanted']}, spans {kinds['spans']}, {_FIELDS}"
+    rows = stored(joined.mapInArrow(lambda batches: _sort_out(batches, texts), held), "texts")
+    open_rows = rows.where("n_bytes is null")
+    more = _later_spans(open_rows).distinct().groupBy(F.col("doc_id").alias("id"))
+    more = more.agg(F.collect_list(F.struct("mark", "low", "high")).alias("more"))
+    last = open_rows.select("key", "row", "mark", "text", "spans").join(more, F.col("key").eqNullSafe(F.col("id")), "left")
+    last = last.select("row", "mark", "text", "spans", "more").mapInArrow(
+        lambda batches: _finish(batches, texts), f"row {kinds['row']}, {_FIELDS}"
     )
-    new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text" and c not in new], *new)
+    out = rows.where("n_bytes is not null").select("row", *NEW).union(last)
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text" and c not in NEW], *NEW)
