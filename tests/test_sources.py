@@ -2,6 +2,8 @@ import json
 import sys
 import time
 
+from pathlib import Path
+
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -163,5 +165,11 @@ def test_lookup_keeps_its_interval(spark):
 
 def test_scratch_follows_the_cluster_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
-    assert session.new_scratch(spark, "x").startswith(f"{base}/lakerec/x-")
+    own = f"{base}/lakerec/{spark.sparkContext.applicationId}"
+    assert session.new_scratch(spark, "x").startswith(f"{own}/x-")
+    with session.scratch_scope(spark):
+        path = session.new_scratch(spark, "x")
+        assert path.startswith(f"{own}/scope-")
+        session.stored(spark.range(3), "y")
+    assert not list(Path(own).glob("scope-*"))
     assert spark.sparkContext.getCheckpointDir() is not None
