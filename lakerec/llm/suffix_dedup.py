@@ -6,7 +6,7 @@ judged on the input and never cross texts.
 1. *Buckets.* The suffixes to compare are those that start a whole string, one per byte. Each is filed under the least
    ``GRAM``-byte gram (by hash, leftmost first) inside its first ``SPAN`` bytes, its anchor. Equal strings have equal
    anchors at equal offsets, so only suffixes of one bucket (anchor gram, offset) can be equal. The suffixes of one
-   anchor follow each other in the text; their union, a stretch of about 570 bytes, is one row.
+   anchor follow each other in the text; their union, a stretch of about 540 bytes, is one row.
 2. *Whole stretches.* A stretch whose hash occurs twice is repeated as a whole. Anchors of a single stretch are unique
    text. Both are decided by counting, combined before the shuffle, however many copies there are.
 3. *Suffix sort.* Anchors with several different stretches, the borders of repeats, get the bytes of one stretch of
@@ -38,11 +38,11 @@ from lakerec.llm import text as T
 from lakerec.session import stored
 
 SPAN = 400
-GRAM = 64
-BUCKET = 2_000
+GRAM = 128
+BUCKET = 500
 PIECE = 1 << 20
 PLACE_BITS = 21
-SORT_SUFFIXES = 400_000  # suffixes sorted at once in a task
+SORT_SUFFIXES = 100_000  # suffixes sorted at once in a task
 
 
 def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
@@ -224,25 +224,32 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         repeated = np.zeros(len(row), dtype=bool)
         repeated[by_group] = repeated_suffixes(data, suffixes[by_group], group[by_group])
         repeated |= np.array([r[5] > 1 for r in rows])[row]
-        out: list[tuple] = []
         hits = np.flatnonzero(repeated)
-        if len(hits):
-            breaks = np.flatnonzero((np.diff(hits) != 1) | (np.diff(row[hits]) != 0))
-            for a, b in zip(hits[np.append(0, breaks + 1)].tolist(), hits[np.append(breaks, len(hits) - 1)].tolist()):
-                r = rows[row[a]]
-                out.append((r[2], r[3], r[6] + int(step[a]), r[6] + int(step[b]) + SPAN, None))
-        if any(r[1] > 1 for r in rows):
+        breaks = np.flatnonzero((np.diff(hits) != 1) | (np.diff(row[hits]) != 0))
+        first, last = (hits[np.append(0, breaks + 1)], hits[np.append(breaks, len(hits) - 1)]) if len(hits) else (hits, hits)
+        wide = np.flatnonzero(np.array([r[1] > 1 for r in rows])[row])
+        strings = np.zeros(0, dtype=np.int64)
+        if len(wide):
             sums = T.prefix_sums(data)
-            strings = T.mix(T.span_hashes(sums, suffixes, suffixes + SPAN) + T.mix(group.astype(np.uint64) % SPAN)).view(np.int64)
-            wide = np.flatnonzero(np.array([r[1] > 1 for r in rows])[row])
-            _, at = np.unique(np.stack([bucket[row[wide]], strings[wide]]), axis=1, return_index=True)
-            for i in wide[at].tolist():
-                r = rows[row[i]]
-                out.append((r[2], r[3], r[6] + int(step[i]), r[6] + int(step[i]) + SPAN, int(strings[i])))
-        columns = list(zip(*out)) if out else [[]] * 5
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-        names = ["doc_id", "mark", "low", "high", "string"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            held = T.span_hashes(sums, suffixes[wide], suffixes[wide] + SPAN)
+            strings = T.mix(held + T.mix(group[wide].astype(np.uint64) % SPAN)).view(np.int64)
+            order = np.lexsort((strings, bucket[row[wide]]))
+            same = (strings[order][1:] == strings[order][:-1]) & (np.diff(bucket[row[wide]][order]) == 0)
+            one = order[np.append(True, ~same)]  # each string once per part
+            wide, strings = wide[one], strings[one]
+        begin, end = np.concatenate([first, wide]), np.concatenate([last, wide])
+        own = row[begin]
+        low = np.array([r[6] for r in rows])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[2] for r in rows], pa.int64()).take(pa.array(own)),
+                pa.array([r[3] for r in rows], pa.int64()).take(pa.array(own)),
+                pa.array((low[own] + step[begin]).astype(np.int32)),
+                pa.array((low[own] + step[end] + SPAN).astype(np.int32)),
+                pa.concat_arrays([pa.nulls(len(first), pa.int64()), pa.array(strings)]),
+            ],
+            names=["doc_id", "mark", "low", "high", "string"],
+        )
 
     rows: list[tuple] = []
     held, last = 0, None
