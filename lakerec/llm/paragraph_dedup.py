@@ -1,7 +1,8 @@
 """Removal of paragraphs that repeat, exactly or nearly, by MinHash banding, exact checks and components.
 
-A paragraph is a line (``\\n``-split) of ``MIN_WORDS`` words or more; its set are the distinct 5-word shingles, A-Z
-lower-cased. Paragraphs are alike when ``100 * intersection >= 80 * union``.
+A paragraph is a line (``\\n``-split) of five words or more, the width of a shingle; its set are the distinct 5-word
+shingles, A-Z lower-cased. Paragraphs are alike when ``100 * intersection >= 80 * union``. The result counts those of
+``MIN_WORDS`` words or more (``n_paragraphs``) and the shorter ones (``n_short``) apart; ``n_removed`` counts both.
 
 1. *Signatures.* Each paragraph has a 128-bit digest of its set and MinHash values in ``bands`` bands of ``rows`` values.
    ``tune`` takes the least number of bands for which sets at the threshold collide in one or more with the wanted
@@ -14,7 +15,7 @@ lower-cased. Paragraphs are alike when ``100 * intersection >= 80 * union``.
 4. *Removals.* Classes are the components of the links. Of each class the paragraph that comes first, by document id and
    then by place, stays; the others are removed from their documents.
 
-Defined cases: a null text has no paragraphs; shorter lines are never touched; null ids come last when the first
+Defined cases: a null text has no paragraphs; lines of fewer than five words have no shingle and are never touched; null ids come last when the first
 paragraph is chosen; rows are told apart by id and text hash, and repeated rows are documents of their own that lose
 the same lines, with the first row's paragraphs kept in every repeat of it. Extra columns pass through. An empty table
 gives an empty table.
@@ -36,7 +37,7 @@ from lakerec.llm.ngram_join import WIDTH, digest, set_classes
 from lakerec.llm.suffix_dedup import text_hashes
 from lakerec.session import stored
 
-MIN_WORDS = 10
+MIN_WORDS = 10  # only tells n_paragraphs from n_short; shorter lines are compared and removed alike
 THRESHOLD = 0.8
 ROWS = 3
 RECALL = 0.999
@@ -47,12 +48,13 @@ def tune(threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL)
     return ceil(log(1 - recall) / log(1 - threshold**rows))
 
 
-def paragraphs(data: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int, int, np.ndarray]]]:
-    """Per text ``(line number, begin, end, shingles)`` of its paragraphs; begin and end are from the text's start."""
+def paragraphs(data: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int, np.ndarray]]]:
+    """Per text ``(line number, words, shingles)`` of its paragraphs."""
     breaks = np.flatnonzero(data == 10)
     edges = np.unique(np.concatenate([bounds, breaks + 1]))  # line starts; a line's feed belongs to it
-    begins, _, first = T.words(data, edges)
-    many = np.flatnonzero(np.diff(first) >= MIN_WORDS)
+    _, _, first = T.words(data, edges)
+    n_words = np.diff(first)
+    many = np.flatnonzero(n_words >= WIDTH)
     found: list[list] = [[] for _ in range(len(bounds) - 1)]
     if not len(many):
         return found
@@ -60,11 +62,7 @@ def paragraphs(data: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int
     owner = np.searchsorted(bounds, edges[many], "right") - 1
     first_line = np.searchsorted(edges, bounds)
     for line, text in zip(many.tolist(), owner.tolist()):
-        start, end = int(edges[line]), int(edges[line + 1])
-        at = int(bounds[text])
-        if end > start and data[end - 1] == 10:
-            end -= 1
-        found[text].append((line - int(first_line[text]), start - at, end - at, sets[line]))
+        found[text].append((line - int(first_line[text]), int(n_words[line]), sets[line]))
     return found
 
 
@@ -92,7 +90,7 @@ def _signatures(bands: int, rows: int):
                 out = [
                     (i, line, digest(values), band_values(values, bands, rows))
                     for i, own in enumerate(paragraphs(data, bounds))
-                    for line, _, _, values in own
+                    for line, _, values in own
                 ]
                 if not out:
                     continue
@@ -123,7 +121,7 @@ def _whole_sets(bands: int, rows: int):
                 out = []
                 for i, own in enumerate(paragraphs(data, bounds)):
                     lines = {w["line"]: w["cls"] for w in wanted[i] if w["mark"] == marks[i]}
-                    for line, _, _, values in own:
+                    for line, _, values in own:
                         if line in lines:
                             out.append((lines[line], len(values), values.tobytes(), band_values(values, bands, rows)))
                 if out:
@@ -168,7 +166,7 @@ def removals(found: DataFrame) -> DataFrame:
     return joined.where(~own).select("doc_id", "mark", "line", F.col("first.doc_id").alias("kept_doc"))
 
 
-NEW = ["n_paragraphs", "n_removed", "kept_docs", "kept_sha256", "kept_text"]
+NEW = ["n_paragraphs", "n_short", "n_removed", "kept_docs", "kept_sha256", "kept_text"]
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +181,10 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lines = body.split(b"\n")
                 kept = b"\n".join(line for n, line in enumerate(lines) if n not in gone)
                 origins = sorted({d for d in gone.values() if d is not None})
-                rows.append((len(own), len(gone), origins, hashlib.sha256(kept).hexdigest(), kept.decode()))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
+                long = sum(words >= MIN_WORDS for _, words, _ in own)
+                sums = (long, len(own) - long, len(gone))
+                rows.append((*sums, origins, hashlib.sha256(kept).hexdigest(), kept.decode()))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(low, high - low)] + [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                 names=["row", *NEW],
@@ -201,6 +201,7 @@ def removed(docs: DataFrame) -> DataFrame:
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(
         _remove,
-        f"row {kind}, n_paragraphs bigint, n_removed bigint, kept_docs array<bigint>, kept_sha256 string, kept_text string",
+        f"row {kind}, n_paragraphs bigint, n_short bigint, n_removed bigint, kept_docs array<bigint>, kept_sha256 string, "
+        "kept_text string",
     )
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text" and c not in NEW], *NEW)

@@ -218,6 +218,20 @@ def test_paragraph_dedup_equals_exact_classes(spark):
     assert paragraph_dedup.removed(frame(spark, [])).count() == 0
 
 
+def test_paragraph_dedup_removes_short_lines(spark):
+    """Lines of five to nine words that repeat go, exact or alike; those of four words have no shingle."""
+    rows = [(i, f"Read more on our own pages\nonly four words here\nown{i} line{i} with{i} six{i} words{i} {i}") for i in range(40)]
+    rows += [(50, "one two three four five six seven eight"), (51, "one two three four five six seven eight nine")]
+    rows += [(52, "READ MORE ON OUR OWN PAGES"), (None, "Read more on our own pages")]
+    found = {r.doc_id: r for r in paragraph_dedup.removed(frame(spark, rows)).collect()}
+    assert found[0].kept_text == rows[0][1] and found[50].kept_text == rows[40][1]
+    for i in range(1, 40):
+        assert found[i].kept_text == rows[i][1].split("\n", 1)[1]
+        assert (found[i].n_paragraphs, found[i].n_short, found[i].n_removed, found[i].kept_docs) == (0, 2, 1, [0])
+    for i, first in ((51, 50), (52, 0), (None, 0)):
+        assert (found[i].kept_text, found[i].n_removed, found[i].kept_docs) == ("", 1, [first])
+
+
 def test_bands_are_tuned_to_the_recall():
     for rows in (1, 2, 3, 5):
         bands = paragraph_dedup.tune(rows=rows)
