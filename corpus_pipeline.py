@@ -24,20 +24,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the least id; documents without words all stay.
+    """Of each class of near copies one row; documents without words all stay.
 
-    Repeated rows of one document count as one.
+    The row that stays is the least by id, null ids last, then by the text's digest, so rows of a shared or null id are
+    told apart. Repeated rows of one document count as one.
     """
-    classes = stored(ngram_join.jaccard_classes(docs.select("doc_id", "text")), "classes").where("n_shingles > 0")
-    gone = classes.where("not (doc_id <=> component_id)").select("doc_id")
-    twice = stored(classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    marked = docs.withColumn("__mark", F.unhex(F.md5("text")))
+    rows = ngram_join.grouped_rows(marked.select("doc_id", "text", "__mark"), "__mark").where("n_shingles > 0")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__mark")
+    rows = stored(rows.select("group.root", "group.cls", "doc_id", "__mark", key.alias("key")), "classes")
+    ends = rows.groupBy("root", "cls").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    first = ends.where("not (first <=> last)").select(F.col("root").alias("r"), F.col("cls").alias("c"), "first")
+    one_class = F.col("root").eqNullSafe(F.col("r")) & F.col("cls").eqNullSafe(F.col("c"))
+    gone = rows.join(first, one_class).where("not (key <=> first)")
+    named = [F.col("doc_id").alias("__id"), F.col("__mark").alias("__text")]
+    gone = gone.select(*named).distinct()
+    twice = rows.groupBy("doc_id", "__mark").agg(F.count("*").alias("n")).where("n > 1")
+    twice = stored(twice.select(*named), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__text"))
+    kept = marked.join(gone, same, "left_anti")
     if twice.isEmpty():
-        return kept
-    ids = twice.withColumnRenamed("doc_id", "__id")
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    once = kept.join(ids, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(ids, same, "left_anti").unionByName(once)
+        return kept.drop("__mark")
+    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, same, "left_anti").unionByName(once).drop("__mark")
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,24 +74,27 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, high, data, bounds in T.slices(batch.column(1)):
             sets = T.shingles(data, bounds, WIDTH)
             digests = [digest(s) if len(s) else None for s in sets]
+            more = range(2, batch.num_columns)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
                     pa.array(digests, pa.binary()),
                     pa.array([d and _mark(d) for d in digests], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                ],
-                names=["doc_id", "cls", "mark", "n_shingles"],
+                ]
+                + [batch.column(i).slice(low, high - low) for i in more],
+                names=["doc_id", "cls", "mark", "n_shingles"] + [batch.schema.names[i] for i in more],
             )
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, *key: str) -> DataFrame:
     """``(doc_id, cls, mark, n_shingles)`` per row of ``docs (doc_id, text)``; ``cls`` is null for an empty set.
 
-    ``mark`` is half of the digest and only serves to count.
+    ``mark`` is half of the digest and only serves to count. The columns ``key`` follow.
     """
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return source.mapInArrow(_signatures, "doc_id bigint, cls binary, mark bigint, n_shingles bigint")
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *key)
+    kinds = "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in key)
+    return source.mapInArrow(_signatures, f"doc_id bigint, cls binary, mark bigint, n_shingles bigint{kinds}")
 
 
 def _announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,16 +172,20 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield count(*held)
 
 
-def candidates(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``(cls, doc_id)`` of the candidate sets of ``docs (text)``, with one document of each."""
+def candidates(docs: DataFrame, signed: DataFrame, *key: str) -> DataFrame:
+    """``(cls, doc_id, *key)`` of the candidate sets of ``docs (text)``, with one document of each."""
     rows = docs.select("text").mapInArrow(_announce, "h bigint, mark bigint, counted int")
     rows = rows.repartition("h", F.when(F.col("h").isNull(), F.col("mark"))).sortWithinPartitions("h", "mark")
     counted = rows.mapInArrow(_count_shared, "mark bigint, n bigint").groupBy("mark").agg(F.sum("n").alias("shared"))
     # The least number of spare probes of any partner, which has 4/5 of the shingles or more. A set met in several
     # slices counts its probes several times, which keeps it in.
     enough = F.greatest(F.lit(1), F.expr("((4 * n_shingles + 4) div 5) div 20"))
-    one = signed.where("cls is not null").groupBy("cls", "mark", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    return one.join(counted, "mark").where(F.col("shared") >= enough).select("cls", "doc_id")
+    one = signed.where("cls is not null").groupBy("cls", "mark", "n_shingles")
+    if key:
+        one = one.agg(F.min(F.struct("doc_id", *key)).alias("one")).select("mark", "cls", "n_shingles", "one.*")
+    else:
+        one = one.agg(F.min("doc_id").alias("doc_id"))
+    return one.join(counted, "mark").where(F.col("shared") >= enough).select("cls", "doc_id", *key)
 
 
 _SETS = "id bigint, block bigint, cls binary, n bigint, shingles binary"
@@ -204,10 +211,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+def whole_sets(docs: DataFrame, chosen: DataFrame, *key: str) -> DataFrame:
     """``_SETS`` of the candidates, to be stored. Repeated rows of a document give its set more than once."""
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    matched = chosen.withColumnRenamed("doc_id", "id").join(source, F.col("id").eqNullSafe(F.col("doc_id")))
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *key)
+    named = chosen.select("cls", F.col("doc_id").alias("id"), *[F.col(c).alias(f"own_{c}") for c in key])
+    same = F.col("id").eqNullSafe(F.col("doc_id"))
+    for c in key:
+        same = same & (F.col(f"own_{c}") == F.col(c))
+    matched = named.join(source, same)
     return matched.select("cls", "text").mapInArrow(_sets, _SETS)
 
 
@@ -476,14 +487,22 @@ def set_classes(sets: DataFrame) -> DataFrame:
     return sets.select("id", "cls").join(roots, "id").groupBy("cls").agg(F.min("root").alias("root"))
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row of ``docs (doc_id, text)``."""
-    signed = stored(signatures(docs), "signatures")
-    sets = stored(whole_sets(docs, stored(candidates(docs, signed), "candidates")), "sets")
+def grouped_rows(docs: DataFrame, *key: str) -> DataFrame:
+    """``(doc_id, cls, n_shingles, *key, group)`` per row of ``docs (doc_id, text, *key)``; rows of one class share ``group``.
+
+    Rows of one id and different texts must differ in ``key``, if there is one; then they are found by it as well.
+    """
+    signed = stored(signatures(docs, *key), "signatures")
+    sets = stored(whole_sets(docs, stored(candidates(docs, signed, *key), "candidates"), *key), "sets")
     roots = set_classes(stored(ordered_sets(sets), "ordered"))
-    rows = signed.select("doc_id", "cls", "n_shingles").join(roots, "cls", "left")
+    rows = signed.select("doc_id", "cls", "n_shingles", *key).join(roots, "cls", "left")
     group = F.when(F.col("root").isNull(), F.col("cls"))
-    rows = rows.withColumn("group", F.struct("root", group.alias("cls")))
+    return rows.withColumn("group", F.struct("root", group.alias("cls"))).drop("root")
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` per row of ``docs (doc_id, text)``."""
+    rows = grouped_rows(docs)
     least = rows.where("cls is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     least = least.select(F.col("group.root").alias("r"), F.col("group.cls").alias("c"), "least")
     same = F.col("group.root").eqNullSafe(F.col("r")) & F.col("group.cls").eqNullSafe(F.col("c"))

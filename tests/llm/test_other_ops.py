@@ -353,6 +353,24 @@ def test_each_stage_on_its_own_input(spark, library):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_one_row_of_each_class_stays_with_shared_and_null_ids(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    a, b, c, d, e = (text(x) for x in "abcde")
+    rows = [(1, a), (2, a + " more"), (2, b)]  # id 2: a copy of 1, and a text of its own
+    rows += [(None, c), (None, c + " more"), (None, c + " other"), (None, a + " end")]  # null ids: one of c, none of a
+    rows += [(5, d), (6, d + " more"), (4, d + " end"), (4, a)]  # the least id of d's class is dropped through a
+    rows += [(7, e), (7, e), (8, None), (8, None), (7, None)]  # repeats count as one; all without words stay
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF).collect()]
+    of_c = [r for r in out if r[1] and r[1].startswith(c)]
+    assert len(of_c) == 1 and of_c[0] in rows
+    rest = [r for r in out if r not in of_c]
+    expected = [(1, a), (2, b), (4, d + " end"), (7, e), (7, None), (8, None), (8, None)]
+    assert sorted(rest, key=str) == sorted(expected, key=str)
+
+
 def test_stages_take_nulls_repeats_and_nothing(spark):
     columns = "doc_id long, text string, lang string, source string, n_chars long, size int, kept string, mark int"
     text = " ".join(f"word{i}" for i in range(120))
