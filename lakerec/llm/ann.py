@@ -10,7 +10,7 @@ Plan. Equal vectors are one entry with its least ``k + 1`` ids (limited before t
 the rows hold costs k + 1 rows per task). Entries and queries meet in blocks: a table's cells are grouped into regions
 by their first two values, and a region of more than ``BLOCK`` entries is dealt out to several blocks, so a hot cell is
 split. A query is sent to each block of the regions it probes, with the cells, and only visits those; each block
-returns its best. Every entry is indexed; nothing is fitted. Queries that found fewer than ``k`` neighbours visit every
+returns its best ids, chosen among all entries as near as the k-th id, ties and all. Every entry is indexed; nothing is fitted. Queries that found fewer than ``k`` neighbours visit every
 cell of one table instead, which is exact.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part. Vectors of different lengths
@@ -147,6 +147,22 @@ def _visits(everything: bool):
     return run
 
 
+def _reach(near: np.ndarray, at: np.ndarray, ids: list[list[int]], own: int, k: int) -> float:
+    """The nearness of the ``k``-th distinct id other than ``own`` among entries ``at``; minus infinity if there are fewer."""
+    size = min(len(near), 2 * k + 8)
+    while True:
+        top = np.argpartition(-near, size - 1)[:size] if size < len(near) else np.arange(size)
+        found: set[int] = set()
+        for i in top[np.argsort(-near[top])].tolist():
+            found.update(ids[at[i]])
+            found.discard(own)
+            if len(found) >= k:
+                return float(near[i])
+        if size == len(near):
+            return -np.inf
+        size = min(len(near), 4 * size)
+
+
 def _search(k: int):
     def run(key, entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         """The best entries of one block for each of its queries, by exact cosine."""
@@ -168,16 +184,18 @@ def _search(k: int):
                         continue
                     at = np.concatenate(runs)
                 near = vectors[at] @ query
-                if len(at) > 2 * k + 8:  # some more than k, so that a last-digit difference can't hide a tie
-                    at = at[np.argpartition(-near, 2 * k + 7)[: 2 * k + 8]]
-                scores = (vectors[at] * query).sum(axis=1)  # summed in one way wherever the row stands
-                best = [
-                    (-score, vec_id)
-                    for score, i in zip(scores.tolist(), at.tolist())
-                    for vec_id in ids[i]
-                    if vec_id != query_id
-                ]
-                out += [(query_id, vec_id, -score) for score, vec_id in heapq.nsmallest(k, best)]
+                if len(at) > k:  # the margin is above what rounding makes of a tie
+                    margin = 8 * vectors.shape[1] * np.finfo(float).eps
+                    at = at[near >= _reach(near, at, ids, query_id, k) - margin]
+                # Products are summed by size: in one way wherever the row stands and whatever the components' order.
+                scores = np.sort(vectors[at] * query, axis=1).sum(axis=1)
+                best: dict[int, float] = {}
+                for score, i in zip(scores.tolist(), at.tolist()):
+                    for vec_id in ids[i]:
+                        if vec_id != query_id:
+                            best[vec_id] = max(score, best.get(vec_id, score))
+                few = heapq.nsmallest(k, ((-score, vec_id) for vec_id, score in best.items()))
+                out += [(query_id, vec_id, -score) for score, vec_id in few]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         )

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import reference as R
 from hypothesis import given, settings
@@ -70,6 +71,32 @@ def test_neighbours_odd_vectors_copies_and_few_rows(spark):
     assert ann.search(vectors.limit(0), asked).count() == 0 and ann.search(vectors, asked.limit(0)).count() == 0
 
 
+def block(rows, query_id, query, k):
+    """What one block returns for a query that visits all of it, from rows ``(ids, vector)`` in their order."""
+    entries = pd.DataFrame([("0", ids[0], ids, v) for ids, v in rows], columns=["cell", "entry", "ids", "vector"])
+    entries["cell"] = [f"{i:04d}" for i in range(len(rows))]  # cells are visited in the order of the rows
+    asked = pd.DataFrame([(query_id, query, None)], columns=["query_id", "query", "cells"])
+    return ann._search(k)(("r", 0), entries, asked).vec_id.tolist()
+
+
+def test_ties_beyond_the_kept_entries_go_to_the_smaller_ids(spark):
+    base = [3.0, -1.0, 2.0, 5.0]
+    copies = [([100 - i], [x * (i + 1) for x in base]) for i in range(30)]  # the smallest ids come last
+    others = [([200 + i], [1.0, float(i), 0.0, 0.0]) for i in range(20)]
+    for rows in (copies + others, copies[::-1] + others, others + copies):
+        assert block(rows, 1, base, 5) == [71, 72, 73, 74, 75]
+        assert block(rows, 72, base, 5) == [71, 73, 74, 75, 76]
+    pairs = [(i, j) for i in range(12) for j in range(i)]
+    ones = [([500 - n], [float(x in p) for x in range(12)]) for n, p in enumerate(pairs)]
+    query = [1.0] * 12  # as near to each of 66 vectors
+    assert block(ones, 1, query, 5) == [435, 436, 437, 438, 439]
+    shared = [([7], [1.0, i / 1000, 0.0, 0.0]) for i in range(1, 60)] + [([i], [1.0, 1.0, float(i), 0.0]) for i in range(1, 7)]
+    assert block(shared, 2, [1.0, 0.0, 0.0, 0.0], 3) == [7, 1, 3]  # an id with many vectors counts once
+    vectors = spark.createDataFrame([(ids[0], v) for ids, v in copies], "vec_id long, vector array<double>")
+    asked = spark.createDataFrame([(1, base)], "query_id long, vector array<double>")
+    assert [r.vec_id for r in ann.search(vectors, asked).orderBy("rank").collect()] == [71, 72, 73, 74, 75]
+
+
 def test_probes_come_in_order_of_cost():
     place = np.array([0.3, 2.9, -1.5, 7.2])
     home = np.floor(place)
