@@ -6,14 +6,15 @@ from lakerec.llm import mixing, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-OP2 = rf"""
+def _jaccard(width: int, columns: str) -> str:
+    return rf"""
     with recursive words as (
         select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                                     'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w
         from documents),
     shingles as (
-        select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s
-        from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) as i from words)),
+        select distinct doc_id, array_to_string(w[i : i + {width - 1}], ' ') as s
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - {width - 1}, least(len(w), 1)) + 1)) as i from words)),
     sizes as (select doc_id, count(s) as n from words left join shingles using (doc_id) group by 1),
     shared as (
         select a.doc_id as a, b.doc_id as b, count(*) as o
@@ -22,10 +23,14 @@ OP2 = rf"""
         select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
         where 100 * o >= 80 * (x.n + y.n - o)),
     reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
-    select doc_id, n as n_shingles, least(doc_id, coalesce(min(b), doc_id)) as component_id
+    select doc_id, n as n_shingles, least(doc_id, coalesce(min(b), doc_id)) as component_id{columns}
     from sizes left join reach on a = doc_id group by doc_id, n"""
 
 
+OP2 = _jaccard(5, "")
+OP11 = _jaccard(4, ", doc_id <= coalesce(min(b), doc_id) as kept")
+
+
 def _op3() -> str:
     values = ", ".join(
         f"('{m}', case when {per} > 0 then ({scale} * {count}) // {per} else 0 end, {least})"
@@ -158,9 +163,30 @@ OP10 = r"""
            sum(length(role) + length(escaped) + 24)::bigint as formatted_chars
     from written group by conv_id"""
 
+OP13 = """
+    with vectors as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+               [floor(256 * x::double) for x in embedding] as units
+        from embeddings
+        where label is not null and embedding is not null
+              and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+    scores as (
+        select a.vec_id as anchor_id, a.label <> b.label as other, b.vec_id, list_inner_product(a.units, b.units)::bigint as score
+        from vectors a join vectors b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+    positives as (
+        select anchor_id, vec_id as positive_id, score as positive_score from scores where not other
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+           vec_id as negative_id, positive_score, score as negative_score
+    from positives join scores using (anchor_id)
+    where other and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+    qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10"""
+
 ORACLES = {
     "op2_ngram_jaccard_join": OP2,
     "op3_quality_rules": _op3(),
     "op4_mixing_sources": OP4,
     "op10_chat_formatting": OP10,
+    "op11_chosen_path_dedup": OP11,
+    "op13_hard_negatives": OP13,
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerec.llm import ann, bpe, chat, mixing, ngram_join, paragraph_dedup, quality, records, suffix_dedup, warc
+from lakerec.llm import (
+    ann,
+    bpe,
+    chat,
+    chosen_path,
+    hard_negatives,
+    mixing,
+    ngram_join,
+    paragraph_dedup,
+    quality,
+    records,
+    spelling,
+    suffix_dedup,
+    warc,
+)
 from lakerec.llm.oracles import ORACLES  # noqa: F401  (read by the driver entry)
 from lakerec.session import new_scratch, stored
 
@@ -84,6 +98,21 @@ def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(segments)
 
 
+def op11_chosen_path_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    found = spelling.spelling_variants(table(spark, sf, "documents").select("doc_id", "text"), deleting=True)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_multiprobe_ann": op1_multiprobe_ann,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -95,5 +124,8 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_bpe_encoding": op9_bpe_encoding,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_chosen_path_dedup": op11_chosen_path_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
