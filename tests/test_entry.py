@@ -41,7 +41,7 @@ def canonical(frame):
 def test_equals_sql(spark, duck, name):
     found, expected = QUERIES[name](spark, SF), duck.sql(ORACLES[name])
     kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
-    kinds["timestamp_ntz"] = "TIMESTAMP"
+    kinds |= {"timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     assert {c: kinds[t] for c, t in found.dtypes} == dict(zip(expected.columns, map(str, expected.types)))
     assert canonical(found.toPandas()) == canonical(expected.df())
 
