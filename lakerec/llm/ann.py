@@ -9,7 +9,7 @@ generated in rising order by a heap. Vectors found in any table are ranked by th
 Plan. Equal vectors are one entry with its least ``k + 1`` ids (limited before the shuffle, so a vector that a third of
 the rows hold costs k + 1 rows per task). Entries and queries meet in blocks: a table's cells are grouped into regions
 by their first two values, and a region of more than ``BLOCK`` entries is dealt out to several blocks, so a hot cell is
-split. A query is sent to each block of the regions it probes, with the cells, and only visits those; each block
+split; so are the queries of a region, by ``QUERY_BLOCK``. A query is sent to each block of the regions it probes, with the cells, and only visits those; each block
 returns its best ids, chosen among all entries as near as the k-th id, ties and all. Every entry is indexed; nothing is fitted. Queries that found fewer than ``k`` neighbours visit every
 cell of one table instead, which is exact.
 
@@ -35,8 +35,9 @@ from lakerec.session import stored
 TABLES = 4
 FUNCTIONS = 6
 WIDTH = 1.5
-PROBES = 150
+PROBES = 300
 BLOCK = 10_000
+QUERY_BLOCK = 5_000
 SEED = 20_07
 
 _FOUND = "query_id bigint, vec_id bigint, score double"
@@ -232,20 +233,25 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         parts = stored(
             indexed.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "regions"
         )
+        asked = visits.groupBy("region").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("lots"))
+        met = stored(parts.join(asked, "region"), "met-regions")
         part = F.pmod(F.xxhash64("entry", "vector"), F.col("parts")).cast("int")
-        left = indexed.join(parts, "region").withColumn("part", part)
-        right = visits.join(parts, "region").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-        left = left.select("region", "part", "cell", "entry", "ids", "vector").groupBy("region", "part")
-        right = right.select("region", "part", "query_id", "query", "cells").groupBy("region", "part")
+        lot = F.pmod(F.xxhash64("query_id", "query"), F.col("lots")).cast("int")
+        left = indexed.join(met, "region").withColumn("part", part).withColumn("lot", F.explode(F.expr("sequence(0, lots - 1)")))
+        right = visits.join(met, "region").withColumn("lot", lot).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+        block = ["region", "part", "lot"]
+        left = left.select(*block, "cell", "entry", "ids", "vector").groupBy(*block)
+        right = right.select(*block, "query_id", "query", "cells").groupBy(*block)
         return left.cogroup(right).applyInPandas(_search(k), _FOUND)
 
     visit_schema = f"region string, query_id bigint, query {kind}, cells array<string>"
-    found = stored(meet(indexed, asked.mapInArrow(_visits(False), visit_schema)), "found")
+    visits = stored(asked.mapInArrow(_visits(False), visit_schema), "visits")
+    found = stored(meet(indexed, visits), "found")
     counts = found.select("query_id", "vec_id").distinct().groupBy("query_id").agg(F.count("*").alias("n"))
     short = asked.join(counts, "query_id", "left").where(f"n is null or n < {int(k)}").select("query_id", "vector")
     short = stored(short, "short")
     if not short.isEmpty():
         one = indexed.where(F.split("region", ":")[1] == "0")
         one = one.withColumn("region", F.concat(F.split("region", ":")[0], F.lit(":0")))
-        found = found.union(meet(one, short.mapInArrow(_visits(True), visit_schema)))
+        found = found.union(meet(one, stored(short.mapInArrow(_visits(True), visit_schema), "visits")))
     return _ranked(found, k).select("query_id", "rank", "vec_id", "score")

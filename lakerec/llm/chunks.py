@@ -4,7 +4,7 @@ The pattern of byte-level tokenizers ends a piece before a space that a non-blan
 between non-blank characters, and between Latin letters, ASCII digits and ASCII marks, but for what follows an
 apostrophe. Texts are cut there, in numpy; a chunk may still hold several pieces. The chunks of a slice are reduced to
 distinct ones by Arrow, those not met lately are encoded, and the ids are put together again by gathering. An encoder
-keeps the ids of up to ``KEPT`` chunks and starts anew when that many are held.
+keeps the ids of up to ``kept`` chunks and starts anew when that many are held.
 """
 
 from __future__ import annotations
@@ -79,16 +79,18 @@ class Encoder:
         encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]],
         special: bytes | None,
         special_id: int,
+        kept: int | None = None,
     ):
         self.encode, self.special, self.special_id = encode, special, special_id
+        self.kept = kept or KEPT
         self._clear()
 
     def _clear(self) -> None:
         self.place: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 20, dtype=np.int32)
         self.used = 0
-        self.start = np.zeros(KEPT, dtype=np.int64)
-        self.length = np.zeros(KEPT, dtype=np.int64)
+        self.start = np.zeros(self.kept, dtype=np.int64)
+        self.length = np.zeros(self.kept, dtype=np.int64)
 
     def _keep(self, chunks: list[bytes], ids: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
         if self.used + len(ids) > len(self.flat):
@@ -111,7 +113,7 @@ class Encoder:
         ).dictionary_encode()
         which = chunks.indices.to_numpy(zero_copy_only=False)
         distinct = chunks.dictionary.to_pylist()
-        if len(self.place) + len(distinct) > KEPT:
+        if len(self.place) + len(distinct) > self.kept:
             self._clear()
         known = np.fromiter(map(self.place.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
         start, length = self.start[known], self.length[known]
@@ -127,7 +129,7 @@ class Encoder:
             start[missing], length[missing] = word_start + self.used, word_length
             flat = np.concatenate([flat, ids])
             short = len(max(words, key=len)) <= LONGEST_KEPT
-            if short and len(self.place) + len(words) <= KEPT:
+            if short and len(self.place) + len(words) <= self.kept:
                 self._keep(words, ids, word_start, word_length)
         bounds_of_ids = np.concatenate([[0], np.cumsum(length[which])])[first]
         return gather(flat, start[which], length[which]).astype(np.int32, copy=False), bounds_of_ids

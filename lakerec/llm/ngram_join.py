@@ -59,9 +59,12 @@ def spare(n: int) -> int:
     return max(1, n // 20)
 
 
+DIGEST_SALTS = (0x5BD1E9955BD1E995, 0xA5A5F0F0C3C33C3C)
+
+
 def digest(values: np.ndarray) -> bytes:
     """A 128-bit digest of a set of 64-bit values."""
-    sums = [int(T.mix(values ^ np.uint64(salt)).sum(dtype=np.uint64)) for salt in (0x5BD1E9955BD1E995, 0xA5A5F0F0C3C33C3C)]
+    sums = [int(T.mix(values ^ np.uint64(salt)).sum(dtype=np.uint64)) for salt in DIGEST_SALTS]
     return b"".join(s.to_bytes(8, "big") for s in sums)
 
 
@@ -509,3 +512,29 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     return rows.join(least, same & F.col("cls").isNotNull(), "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """One row of each class of ``docs``, with all its columns; documents without words all stay.
+
+    The row that stays is the least by id, null ids last, then by the text's digest, so rows of a shared or null id are
+    told apart. Repeated rows of one document count as one.
+    """
+    marked = docs.withColumn("__mark", F.unhex(F.md5("text")))
+    rows = grouped_rows(marked.select("doc_id", "text", "__mark"), "__mark").where("n_shingles > 0")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__mark")
+    rows = stored(rows.select("group.root", "group.cls", "doc_id", "__mark", key.alias("key")), "classes")
+    ends = rows.groupBy("root", "cls").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    first = ends.where("not (first <=> last)").select(F.col("root").alias("r"), F.col("cls").alias("c"), "first")
+    one_class = F.col("root").eqNullSafe(F.col("r")) & F.col("cls").eqNullSafe(F.col("c"))
+    gone = rows.join(first, one_class).where("not (key <=> first)")
+    named = [F.col("doc_id").alias("__id"), F.col("__mark").alias("__text")]
+    gone = gone.select(*named).distinct()
+    twice = rows.groupBy("doc_id", "__mark").agg(F.count("*").alias("n")).where("n > 1")
+    twice = stored(twice.select(*named), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__text"))
+    kept = marked.join(gone, same, "left_anti")
+    if twice.isEmpty():
+        return kept.drop("__mark")
+    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, same, "left_anti").unionByName(once).drop("__mark")

@@ -16,7 +16,8 @@ shingles, A-Z lower-cased. Paragraphs are alike when ``100 * intersection >= 80
    then by place, stays; the others are removed from their documents.
 
 Defined cases: a null text has no paragraphs; lines of fewer than five words have no shingle and are never touched; null ids come last when the first
-paragraph is chosen; rows are told apart by id and text hash, and repeated rows are documents of their own that lose
+paragraph is chosen; lines of any length are one paragraph, so a passage inside of longer lines that are not alike stays; rows are told
+apart by id and a hash of the text, and repeated rows are documents of their own that lose
 the same lines, with the first row's paragraphs kept in every repeat of it. Extra columns pass through. An empty table
 gives an empty table.
 """
@@ -33,8 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
-from lakerec.llm.ngram_join import WIDTH, digest, set_classes
-from lakerec.llm.suffix_dedup import text_hashes
+from lakerec.llm.ngram_join import DIGEST_SALTS, WIDTH, set_classes
 from lakerec.session import stored
 
 MIN_WORDS = 10  # only tells n_paragraphs from n_short; shorter lines are compared and removed alike
@@ -66,16 +66,28 @@ def paragraphs(data: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int
     return found
 
 
-def band_values(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One value per band from the least mixed values of a set."""
+def _owners(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All values of non-empty sets, one set after the other, and where each begins."""
+    return np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
+
+
+def digests(sets: list[np.ndarray]) -> list[bytes]:
+    """``digest`` of each of the sets, all at once."""
+    values, first = _owners(sets)
+    halves = [np.add.reduceat(T.mix(values ^ np.uint64(salt)), first).astype(">u8") for salt in DIGEST_SALTS]
+    both = np.stack(halves, axis=1).tobytes()
+    return [both[i : i + 16] for i in range(0, len(both), 16)]
+
+
+def band_values(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """(sets, bands): one value per band from the least mixed values of each set, all sets of a slice at once."""
+    values, first = _owners(sets)
     salts = T.mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * T.BASE)
-    least = np.array([T.mix(values ^ salt).min() for salt in salts]) if len(values) < 64 else T.mix(
-        values[None, :] ^ salts[:, None]
-    ).min(axis=1)
-    by_band = least.reshape(bands, rows)
-    total = T.mix(np.arange(bands, dtype=np.uint64) + np.uint64(1))
+    least = np.stack([np.minimum.reduceat(T.mix(values ^ salt), first) for salt in salts], axis=1)
+    by_band = least.reshape(len(sets), bands, rows)
+    total = T.mix(np.arange(bands, dtype=np.uint64) + np.uint64(1))[None, :]
     for r in range(rows):
-        total = T.mix(total * T.BASE + by_band[:, r])
+        total = T.mix(total * T.BASE + by_band[:, :, r])
     return total.view(np.int64)
 
 
@@ -84,26 +96,27 @@ _PARAGRAPHS = "doc_id bigint, mark bigint, line int, cls binary, bands array<big
 
 def _signatures(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``(doc_id, mark, text)``; of equal sets in a slice only the first carries its bands."""
         for batch in batches:
-            for low, high, data, bounds in T.slices(batch.column(1)):
-                marks = text_hashes(data, bounds)
-                out = [
-                    (i, line, digest(values), band_values(values, bands, rows))
-                    for i, own in enumerate(paragraphs(data, bounds))
-                    for line, _, values in own
-                ]
+            for low, high, data, bounds in T.slices(batch.column(2)):
+                out = [(i, line, values) for i, own in enumerate(paragraphs(data, bounds)) for line, _, values in own]
                 if not out:
                     continue
-                at = np.array([o[0] for o in out])
-                flat = np.concatenate([o[3] for o in out])
-                offsets = pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32))
+                names = digests([o[2] for o in out])
+                first = {name: i for i, name in reversed(list(enumerate(names)))}
+                heads = sorted(first.values())
+                flat = band_values([out[i][2] for i in heads], bands, rows)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(heads) + 1, dtype=np.int32) * bands), pa.array(flat.ravel()))
+                place = np.full(len(out), -1)
+                place[heads] = np.arange(len(heads))
+                at = pa.array([o[0] for o in out])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, high - low).take(pa.array(at)),
-                        pa.array(marks[at]),
+                        batch.column(0).slice(low, high - low).take(at),
+                        batch.column(1).slice(low, high - low).take(at),
                         pa.array([o[1] for o in out], pa.int32()),
-                        pa.array([o[2] for o in out], pa.binary()),
-                        pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                        pa.array(names, pa.binary()),
+                        lists.take(pa.array(place, mask=place < 0)),
                     ],
                     names=["doc_id", "mark", "line", "cls", "bands"],
                 )
@@ -116,19 +129,20 @@ def _whole_sets(bands: int, rows: int):
         """Rows ``(text, wanted)``: the sets of the wanted lines."""
         for batch in batches:
             for low, high, data, bounds in T.slices(batch.column(0)):
-                marks = text_hashes(data, bounds).tolist()
                 wanted = batch.column(1).slice(low, high - low).to_pylist()
                 out = []
                 for i, own in enumerate(paragraphs(data, bounds)):
-                    lines = {w["line"]: w["cls"] for w in wanted[i] if w["mark"] == marks[i]}
-                    for line, _, values in own:
-                        if line in lines:
-                            out.append((lines[line], len(values), values.tobytes(), band_values(values, bands, rows)))
+                    lines = {w["line"]: w["cls"] for w in wanted[i]}
+                    out += [(lines[line], values) for line, _, values in own if line in lines]
                 if out:
-                    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["cls", "n", "shingles", "prefix"]
-                    )
+                    flat = band_values([o[1] for o in out], bands, rows)
+                    columns = [
+                        pa.array([o[0] for o in out], pa.binary()),
+                        pa.array([len(o[1]) for o in out], pa.int64()),
+                        pa.array([o[1].tobytes() for o in out], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands), pa.array(flat.ravel())),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["cls", "n", "shingles", "prefix"])
 
     return run
 
@@ -136,19 +150,20 @@ def _whole_sets(bands: int, rows: int):
 def classes(docs: DataFrame, bands: int | None = None, rows: int = ROWS) -> DataFrame:
     """``(doc_id, mark, line, class)`` of every paragraph of ``docs (doc_id, text)``, stored."""
     bands = bands or tune(rows=rows)
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     signed = stored(source.mapInArrow(_signatures(bands, rows), _PARAGRAPHS), "paragraphs")
     values = signed.select(F.hash("cls").alias("mark"), F.explode("bands").alias("h"))
     shared = values.groupBy("h").agg(F.min("mark").alias("a"), F.max("mark").alias("b")).where("a <> b").select("h")
     shared = stored(shared, "shared-bands")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "line")).alias("one")
-    by_set = stored(signed.groupBy("cls").agg(one, F.first("bands").alias("bands")), "paragraph-sets")
+    by_set = stored(signed.groupBy("cls").agg(one, F.first("bands", ignorenulls=True).alias("bands")), "paragraph-sets")
     colliding = by_set.select("cls", "one", F.explode("bands").alias("h")).join(shared, "h", "left_semi")
     colliding = colliding.select("cls", "one").distinct()
-    wanted = colliding.groupBy(F.col("one.doc_id").alias("id")).agg(
-        F.collect_list(F.struct("one.mark", "one.line", "cls")).alias("wanted")  # lines of one document
+    wanted = colliding.groupBy(F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark")).agg(
+        F.collect_list(F.struct("one.line", "cls")).alias("wanted")  # lines of one text
     )
-    sets = wanted.join(source, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "wanted")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
+    sets = wanted.join(source, same).select("text", "wanted")
     sets = sets.mapInArrow(_whole_sets(bands, rows), "cls binary, n bigint, shingles binary, prefix array<bigint>")
     roots = set_classes(stored(sets.withColumn("id", F.monotonically_increasing_id()), "paragraph-shingles"))
     found = signed.select("doc_id", "mark", "line", "cls").join(roots, "cls", "left")
@@ -170,13 +185,13 @@ NEW = ["n_paragraphs", "n_short", "n_removed", "kept_docs", "kept_sha256", "kept
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(row, text, gone)``."""
     for batch in batches:
         for low, high, data, bounds in T.slices(batch.column(1)):
-            marks = text_hashes(data, bounds).tolist()
             rows = []
             lists = batch.column(2).slice(low, high - low).to_pylist()
             for i, own in enumerate(paragraphs(data, bounds)):
-                gone = {c["line"]: c["kept_doc"] for c in lists[i] or () if c["mark"] == marks[i]}
+                gone = {c["line"]: c["kept_doc"] for c in lists[i] or ()}
                 body = data[bounds[i] : bounds[i + 1]].tobytes()
                 lines = body.split(b"\n")
                 kept = b"\n".join(line for n, line in enumerate(lines) if n not in gone)
@@ -193,11 +208,12 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removed(docs: DataFrame) -> DataFrame:
     """``docs`` with ``NEW`` in the place of the text: paragraphs, those removed, the documents that keep them, the rest."""
-    gone = removals(classes(docs)).distinct()
-    gone = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("mark", "line", "kept_doc")).alias("__gone"))
+    gone = removals(classes(docs)).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__text"))
+    gone = gone.agg(F.collect_list(F.struct("line", "kept_doc")).alias("__gone"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    source = docs.select(F.col("doc_id").cast("bigint").alias("__key"), row.alias("row"), "text")
-    joined = source.join(gone, F.col("__key").eqNullSafe(F.col("__id")), "left").select("row", "text", "__gone")
+    source = docs.select(F.col("doc_id").cast("bigint").alias("__key"), F.xxhash64("text").alias("__mark"), row.alias("row"), "text")
+    same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__text"))
+    joined = source.join(gone, same, "left").select("row", "text", "__gone")
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(
         _remove,

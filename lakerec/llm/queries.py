@@ -65,11 +65,11 @@ def op5_binary_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffix_dedup.removed(table(spark, sf, "documents").select("doc_id", "text"), texts=False).drop("kept_text")
+    return suffix_dedup.removed(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return paragraph_dedup.removed(table(spark, sf, "documents").select("doc_id", "text")).drop("kept_text")
+    return paragraph_dedup.removed(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def op8_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,37 +1,44 @@
 """Removal of repeated byte strings by a hash-compared suffix sort, spread over content-chosen buckets.
 
-Every byte of a text (UTF-8) that a ``SPAN``-byte string covers which also starts elsewhere is removed; strings are
-judged on the input and never cross texts.
+Every byte of a text (UTF-8) that a ``span``-byte string covers which also starts elsewhere is removed; strings are
+judged on the input and never cross texts. ``span`` is ``SPAN`` unless the caller gives another.
 
 1. *Buckets.* The suffixes to compare are those that start a whole string, one per byte. Each is filed under the least
-   ``GRAM``-byte gram (by hash, leftmost first) inside its first ``SPAN`` bytes, its anchor. Equal strings have equal
+   ``gram``-byte gram (by hash, leftmost first) inside its first ``span`` bytes, its anchor. Equal strings have equal
    anchors at equal offsets, so only suffixes of one bucket (anchor gram, offset) can be equal. The suffixes of one
-   anchor follow each other in the text; their union, a stretch of about 540 bytes, is one row.
-2. *Whole stretches.* A stretch whose hash occurs twice is repeated as a whole. Anchors of a single stretch are unique
-   text. Both are decided by counting, combined before the shuffle, however many copies there are.
-3. *Suffix sort.* Anchors with several different stretches, the borders of repeats, get the bytes of one stretch of
+   anchor follow each other in the text; their union, a stretch, is one row.
+2. *Whole stretches.* A stretch that occurs twice is repeated as a whole. Anchors of a single stretch are unique text.
+   Both are decided by counting, combined before the shuffle, however many copies there are. Stretches are told apart
+   by their gram and by a 128-bit hash of their bytes.
+3. *Hot anchors.* The stretches of an anchor that has more than ``BUCKET`` kinds are split by content: each suffix has a
+   second anchor, the least gram by another hash, and equal strings share that too. The parts of a stretch are counted
+   like stretches, and split again by further anchors while their buckets are too large. After ``ROUNDS`` the strings
+   that are left, those of a passage with very many variants, are counted one by one.
+4. *Suffix sort.* Anchors with several different stretches, the borders of repeats, get the bytes of one stretch of
    each kind. Each bucket's suffixes are sorted by merging runs; two suffixes are compared by their longest common
    extension, found from polynomial prefix hashes by binary search (9 steps for 400 bytes), and the byte after it.
-   Neighbours with ``SPAN`` bytes in common are repeated. All buckets of a task are merged at once in numpy.
+   Neighbours with ``span`` bytes in common are repeated. All buckets of a task are merged at once in numpy.
    The bytes of every such pair are compared; if a hash ever lied, its bucket is decided on the bytes themselves.
-4. *Hot anchors.* The stretches of an anchor that has more than ``BUCKET`` kinds are dealt out to several sorts. What
-   a part cannot decide alone, one hash of each string in it, is counted across the parts.
 5. The spans of each text are joined with it, merged and cut out.
 
-Defined cases: a null text has no bytes; texts shorter than ``SPAN`` lose nothing. Rows are told apart by id and text
-hash, so repeated rows, null ids and different texts under one id are each judged as texts of their own. Cuts may
-split a UTF-8 character; ``removed`` then drops its rest in the text (``errors="ignore"``), never in the digest.
-Other columns are not read. An empty table gives an empty table.
+What the sort removes is verified on the bytes; what counting removes rests on the 128-bit hash, within one gram.
+
+Defined cases: a null text has no bytes; texts shorter than ``span`` lose nothing. Rows are told apart by id and a hash
+of the text, so repeated rows, null ids and different texts under one id are each judged as texts of their own, and
+no list is gathered for more than one text. Cuts may split a UTF-8 character; ``removed`` then drops its rest in the text
+(``errors="ignore"``), never in the digest. Other columns are not read. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
@@ -40,10 +47,23 @@ from lakerec.session import stored
 SPAN = 400
 GRAM = 128
 BUCKET = 500
+ROUNDS = 6
 PIECE = 1 << 20
 PLACE_BITS = 21
 SORT_SUFFIXES = 100_000  # suffixes sorted at once in a task
 
+_FACTOR = 0x9E3779B97F4A7C15
+_UP = np.cumprod(np.append(np.uint64(1), np.full(2 * PIECE, _FACTOR, dtype=np.uint64)), dtype=np.uint64)
+_DOWN = np.cumprod(np.append(np.uint64(1), np.full(2 * PIECE, pow(_FACTOR, -1, 1 << 64), dtype=np.uint64)), dtype=np.uint64)
+_BYTE = T.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
+
+
+def gram_hashes(data: np.ndarray, gram: int, round_: int = 0) -> np.ndarray:
+    """A cheap hash of each ``gram`` bytes; it only chooses anchors, so a collision costs time and nothing else."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * _UP[: len(data)], out=sums[1:])
+    return T.mix((sums[gram:] - sums[:-gram]) * _DOWN[: len(data) - gram + 1] + np.uint64(round_ * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
+
 
 def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
     """The least key of each run of ``width`` keys."""
@@ -56,19 +76,18 @@ def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(onward[:count], upto[width - 1 : width - 1 + count])
 
 
-def stretches(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, first start, last start, anchor, gram hash, stretch hash) of every anchor; places are from the text's start."""
+def stretches(data: np.ndarray, bounds: np.ndarray, span: int = SPAN, gram: int = GRAM, round_: int = 0) -> tuple[np.ndarray, ...]:
+    """(text, first start, last start, anchor, gram hash) of every anchor; places are from the text's start."""
     found = []
-    for begin in range(0, max(len(data) - SPAN + 1, 0), PIECE):
-        piece = data[begin : begin + PIECE + SPAN - 1]
-        sums, down = T.prefix_sums(piece), T.powers(len(piece) + 1, "down")
-        grams = T.mix((sums[GRAM:] - sums[:-GRAM]) * down[: len(piece) - GRAM + 1])
+    for begin in range(0, max(len(data) - span + 1, 0), PIECE):
+        piece = data[begin : begin + PIECE + span - 1]
+        grams = gram_hashes(piece, gram, round_)
         mask = np.uint64((1 << PLACE_BITS) - 1)
         keys = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
-        anchors = (_least_places(keys, SPAN - GRAM + 1) & mask).astype(np.int64)
+        anchors = (_least_places(keys, span - gram + 1) & mask).astype(np.int64)
         starts = np.arange(len(anchors))
         owner = np.searchsorted(bounds, starts + begin, "right") - 1
-        whole = np.flatnonzero(starts + begin + SPAN <= bounds[owner + 1])
+        whole = np.flatnonzero(starts + begin + span <= bounds[owner + 1])
         if not len(whole):
             continue
         owner, anchors = owner[whole], anchors[whole]
@@ -77,56 +96,65 @@ def stretches(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
         at = np.flatnonzero(new)
         low, high = whole[at], whole[np.append(at[1:], len(whole)) - 1]
         owner, anchors = owner[at], anchors[at]
-        kinds = T.mix(T.span_hashes(sums, low, high + SPAN) + (anchors - low).astype(np.uint64))
         shift = begin - bounds[owner]
-        found.append((owner, low + shift, high + shift, anchors + shift, grams[anchors], kinds))
+        found.append((owner, low + shift, high + shift, anchors + shift, grams[anchors]))
     if not found:
-        return tuple(np.zeros(0, dtype=t) for t in (np.int64,) * 4 + (np.uint64,) * 2)
+        return tuple(np.zeros(0, dtype=t) for t in (np.int64,) * 4 + (np.uint64,))
     return tuple(np.concatenate(parts) for parts in zip(*found))
 
 
-def text_hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    return T.span_hashes(T.prefix_sums(data), bounds[:-1], bounds[1:]).view(np.int64)
+def kinds_of(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(spans, 2) halves of a 128-bit hash of each span's bytes and the offset of its anchor."""
+    body = memoryview(np.ascontiguousarray(data))
+    digests = [
+        xxhash.xxh3_128_digest(body[a:b], seed=o) for a, b, o in zip(begins.tolist(), ends.tolist(), offsets.tolist())
+    ]
+    return np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
 
 
-_ANCHORS = "doc_id bigint, mark bigint, low int, high int, anchor int, gram bigint, kind bigint"
+_ANCHORS = "doc_id bigint, mark bigint, low int, high int, anchor int, gram bigint, kind bigint, check bigint"
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for low, high, data, bounds in T.slices(batch.column(1)):
-            owner, first, last, anchor, gram, kind = stretches(data, bounds)
-            marks = text_hashes(data, bounds)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low).take(pa.array(owner)), pa.array(marks[owner])]
-                + [pa.array(c.astype(np.int32)) for c in (first, last, anchor)]
-                + [pa.array(gram.view(np.int64)), pa.array(kind.view(np.int64))],
-                names=[c.split()[0] for c in _ANCHORS.split(", ")],
-            )
+def _anchors(span: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``(key, mark, text)``."""
+        for batch in batches:
+            for low, high, data, bounds in T.slices(batch.column(2)):
+                owner, first, last, anchor, grams = stretches(data, bounds, span, gram)
+                kinds = kinds_of(data, bounds[owner] + first, bounds[owner] + last + span, anchor - first)
+                rows = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i).slice(low, high - low).take(rows) for i in (0, 1)]
+                    + [pa.array(c.astype(np.int32)) for c in (first, last, anchor)]
+                    + [pa.array(grams.view(np.int64)), pa.array(kinds[:, 0]), pa.array(kinds[:, 1])],
+                    names=[c.split()[0] for c in _ANCHORS.split(", ")],
+                )
+
+    return run
 
 
 def common_extension(sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: int = SPAN) -> np.ndarray:
     """Bytes that the suffixes at ``a`` and ``b`` have in common, up to ``most``, by binary search on prefix hashes."""
-    down = T.powers(len(sums), "down")
-    down_a, down_b, sum_a, sum_b = down[a], down[b], sums[a], sums[b]
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    apart, sum_a, sum_b = T.powers(len(sums))[b - a], sums[a], sums[b]
     low, high = np.zeros(len(a), dtype=np.int64), np.full(len(a), most, dtype=np.int64)
     for _ in range(int(most).bit_length()):
         middle = (low + high + 1) >> 1
-        same = (sums[a + middle] - sum_a) * down_a == (sums[b + middle] - sum_b) * down_b
+        same = T.mul_mod(T.sub_mod(sums[a + middle], sum_a), apart) == T.sub_mod(sums[b + middle], sum_b)
         low = np.where(same, middle, low)
         high = np.where(same, high, middle - 1)
     return low
 
 
-def _less(data: np.ndarray, sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether suffix ``a`` sorts before ``b``, and whether their first ``SPAN`` bytes are equal."""
-    shared = common_extension(sums, a, b)
-    equal = shared == SPAN
+def _less(data: np.ndarray, sums: np.ndarray, a: np.ndarray, b: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether suffix ``a`` sorts before ``b``, and whether their first ``span`` bytes are equal."""
+    shared = common_extension(sums, a, b, span)
+    equal = shared == span
     step = np.where(equal, 0, shared)
     return ~equal & (data[a + step] < data[b + step]), equal
 
 
-def merge_sort(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, group: np.ndarray) -> np.ndarray:
+def merge_sort(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, group: np.ndarray, span: int = SPAN) -> np.ndarray:
     """``suffixes`` with those of each group (a run of equal, rising ``group`` values) in order."""
     order = suffixes.copy()
     _, first, sizes = np.unique(group, return_index=True, return_counts=True)
@@ -148,7 +176,7 @@ def merge_sort(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, group:
             middle = (low[live] + high[live]) >> 1
             mine = order[moving[live]]
             theirs = order[start[live] + other[live] + middle]
-            less, equal = _less(data, sums, theirs, mine)
+            less, equal = _less(data, sums, theirs, mine, span)
             ahead = less | (equal & ~in_left[live])  # equal suffixes of the left run come first
             low[live] = np.where(ahead, middle + 1, low[live])
             high[live] = np.where(ahead, high[live], middle)
@@ -159,14 +187,14 @@ def merge_sort(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, group:
     return order
 
 
-def _bytes_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether the ``SPAN`` bytes at every ``a`` equal those at its ``b``; overlapping pairs are compared once."""
+def _bytes_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, span: int) -> bool:
+    """Whether the ``span`` bytes at every ``a`` equal those at its ``b``; overlapping pairs are compared once."""
     order = np.lexsort((a, b - a))
     a, gap = a[order], (b - a)[order]
-    length = np.full(len(a), SPAN, dtype=np.int64)
-    follows = (gap[1:] == gap[:-1]) & (a[1:] - a[:-1] < SPAN)
+    length = np.full(len(a), span, dtype=np.int64)
+    follows = (gap[1:] == gap[:-1]) & (a[1:] - a[:-1] < span)
     begin = a.copy()
-    begin[1:][follows] = a[:-1][follows] + SPAN
+    begin[1:][follows] = a[:-1][follows] + span
     length[1:][follows] = (a[1:] - a[:-1])[follows]
     for at in range(0, len(a), 20_000):
         part = slice(at, at + 20_000)
@@ -177,38 +205,32 @@ def _bytes_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> bool:
     return True
 
 
-def repeated_suffixes(data: np.ndarray, suffixes: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Which ``suffixes`` share their first ``SPAN`` bytes with another of their group (rising group values)."""
+def repeated_suffixes(data: np.ndarray, suffixes: np.ndarray, group: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """Which ``suffixes`` share their first ``span`` bytes with another of their group (rising group values)."""
     result = np.zeros(len(suffixes), dtype=bool)
     if len(suffixes) < 2:
         return result
     sums = T.prefix_sums(data)
-    order = merge_sort(data, sums, suffixes, group)
+    order = merge_sort(data, sums, suffixes, group, span)
     near = np.flatnonzero(group[1:] == group[:-1])
-    equal = common_extension(sums, order[near], order[near + 1]) == SPAN
+    equal = common_extension(sums, order[near], order[near + 1], span) == span
     a, b = order[near[equal]], order[near[equal] + 1]
-    if _bytes_equal(data, a, b):
+    if _bytes_equal(data, a, b, span):
         return np.isin(suffixes, np.concatenate([a, b]))
     seen: dict = {}  # a hash has lied
-    for i, key in enumerate(zip(group.tolist(), (data[s : s + SPAN].tobytes() for s in suffixes.tolist()))):
+    for i, key in enumerate(zip(group.tolist(), (data[s : s + span].tobytes() for s in suffixes.tolist()))):
         if key in seen:
             result[[i, seen[key]]] = True
         seen.setdefault(key, i)
     return result
 
 
-_SORTED = "doc_id bigint, mark bigint, low int, high int, string bigint"
-
+_SPANS = "doc_id bigint, mark bigint, low int, high int"
 
-def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(bucket, parts, doc_id, mark, kind, copies, low, high, anchor, stretch)`` sorted by bucket.
-
-    Gives spans ``[low, high)`` of the texts, and for buckets of several parts a row with ``string`` (its hash) for
-    each string that another part may hold too.
-    """
 
+def _sort_buckets(span: int):
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        unique = {(r[0], r[4]): r for r in rows}  # repeated rows of a document gave the same stretch
+        unique = {(r[0], r[3], r[4]): r for r in rows}  # repeated rows of a document gave the same stretch
         rows = list(unique.values())
         data = np.frombuffer(b"".join(r[9] for r in rows), dtype=np.uint8)
         sizes = np.array([r[7] - r[6] + 1 for r in rows])
@@ -218,111 +240,190 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         bucket = np.array([numbers.setdefault(r[0], len(numbers)) for r in rows])
         row = np.repeat(np.arange(len(rows)), sizes)
         step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        group = bucket[row] * SPAN + (anchor[row] - step)
+        group = bucket[row] * span + (anchor[row] - step)
         by_group = np.argsort(group, kind="stable")
         suffixes = base[row] + step
         repeated = np.zeros(len(row), dtype=bool)
-        repeated[by_group] = repeated_suffixes(data, suffixes[by_group], group[by_group])
-        repeated |= np.array([r[5] > 1 for r in rows])[row]
+        repeated[by_group] = repeated_suffixes(data, suffixes[by_group], group[by_group], span)
+        repeated &= ~np.array([r[5] > 1 for r in rows])[row]  # these are known
         hits = np.flatnonzero(repeated)
         breaks = np.flatnonzero((np.diff(hits) != 1) | (np.diff(row[hits]) != 0))
         first, last = (hits[np.append(0, breaks + 1)], hits[np.append(breaks, len(hits) - 1)]) if len(hits) else (hits, hits)
-        wide = np.flatnonzero(np.array([r[1] > 1 for r in rows])[row])
-        strings = np.zeros(0, dtype=np.int64)
-        if len(wide):
-            sums = T.prefix_sums(data)
-            held = T.span_hashes(sums, suffixes[wide], suffixes[wide] + SPAN)
-            strings = T.mix(held + T.mix(group[wide].astype(np.uint64) % SPAN)).view(np.int64)
-            order = np.lexsort((strings, bucket[row[wide]]))
-            same = (strings[order][1:] == strings[order][:-1]) & (np.diff(bucket[row[wide]][order]) == 0)
-            one = order[np.append(True, ~same)]  # each string once per part
-            wide, strings = wide[one], strings[one]
-        begin, end = np.concatenate([first, wide]), np.concatenate([last, wide])
-        own = row[begin]
-        low = np.array([r[6] for r in rows])
+        own, low = row[first], np.array([r[6] for r in rows])
         return pa.RecordBatch.from_arrays(
             [
+                pa.array([r[1] for r in rows], pa.int64()).take(pa.array(own)),
                 pa.array([r[2] for r in rows], pa.int64()).take(pa.array(own)),
-                pa.array([r[3] for r in rows], pa.int64()).take(pa.array(own)),
-                pa.array((low[own] + step[begin]).astype(np.int32)),
-                pa.array((low[own] + step[end] + SPAN).astype(np.int32)),
-                pa.concat_arrays([pa.nulls(len(first), pa.int64()), pa.array(strings)]),
+                pa.array((low[own] + step[first]).astype(np.int32)),
+                pa.array((low[own] + step[last] + span).astype(np.int32)),
             ],
-            names=["doc_id", "mark", "low", "high", "string"],
+            names=["doc_id", "mark", "low", "high"],
         )
 
-    rows: list[tuple] = []
-    held, last = 0, None
-    for batch in batches:
-        for values in zip(*(column.to_pylist() for column in batch.columns)):
-            if held >= SORT_SUFFIXES and values[0] != last:
-                yield solve(rows)
-                rows, held = [], 0
-            last = values[0]
-            rows.append(values)
-            held += values[7] - values[6] + 1
-    if rows:
-        yield solve(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``_STRETCHES`` sorted by bucket: spans ``[low, high)`` of the texts."""
+        rows: list[tuple] = []
+        held, last = 0, None
+        for batch in batches:
+            for values in zip(*(column.to_pylist() for column in batch.columns)):
+                if held >= SORT_SUFFIXES and values[0] != last:
+                    yield solve(rows)
+                    rows, held = [], 0
+                last = values[0]
+                rows.append(values)
+                held += values[7] - values[6] + 1
+        if rows:
+            yield solve(rows)
+
+    return run
 
 
+# The anchor is the first one: suffixes of one bucket are compared where their offsets to it are equal.
 _STRETCHES = (
-    "bucket string, parts int, doc_id bigint, mark bigint, kind bigint, copies bigint, low int, high int, anchor int, "
+    "bucket bigint, doc_id bigint, mark bigint, kind bigint, check bigint, copies bigint, low int, high int, anchor int, "
     "stretch binary"
 )
+_NAMES = [c.split()[0] for c in _STRETCHES.split(", ")]
+_KINDS = [*[pa.int64()] * 6, *[pa.int32()] * 3, pa.binary()]
 
 
-def _cut_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, mark, text, wanted)``: the bytes of each wanted stretch."""
-    for batch in batches:
-        rows = []
-        marks = batch.column(1).to_pylist()
-        ids = batch.column(0).to_pylist()
-        bodies, bounds = T.as_bytes(batch.column(2))
-        for i, wanted in enumerate(batch.column(3).to_pylist()):
-            for w in wanted or ():
-                if w["mark"] == marks[i]:
-                    at = int(bounds[i])
-                    stretch = bodies[at + w["low"] : at + w["high"] + SPAN].tobytes()
-                    rows.append((w["bucket"], w["parts"], ids[i], w["mark"], w["kind"], w["copies"], w["low"], w["high"], w["anchor"], stretch))
-        if rows:
-            kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary()]
-            names = [c.split()[0] for c in _STRETCHES.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-
-
-def _first_spans(source: DataFrame) -> DataFrame:
-    """``(id, wanted, spans)`` of each text with a shared anchor: stretches to sort, and spans that counting decides."""
-    anchors = stored(source.select("key", "text").mapInArrow(_anchors, _ANCHORS), "anchors")
-    grams = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.min("kind").alias("k0"), F.max("kind").alias("k1"))
-    shared = grams.where("n > 1").select("gram", (F.col("k0") != F.col("k1")).alias("mixed"))
+def _cut_stretches(span: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``(key, mark, text, wanted)``: the bytes of each wanted stretch."""
+        for batch in batches:
+            rows = []
+            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            bodies, bounds = T.as_bytes(batch.column(2))
+            for i, wanted in enumerate(batch.column(3).to_pylist()):
+                for w in wanted or ():
+                    stretch = bodies[int(bounds[i]) + w["low"] : int(bounds[i]) + w["high"] + span].tobytes()
+                    row = (w["bucket"], ids[i], marks[i], w["kind"], w["check"], w["copies"], w["low"], w["high"], w["anchor"], stretch)
+                    rows.append((*row, w["hot"]))
+            if rows:
+                kinds = [*_KINDS, pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[*_NAMES, "hot"])
+
+    return run
+
+
+def _split(span: int, gram: int, round_: int):
+    """``_STRETCHES`` rows sorted by bucket and kind: their parts by the anchors of another round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            columns = {name: batch.column(i) for i, name in enumerate(_NAMES)}
+            keys = list(zip(*(columns[c].to_pylist() for c in ("bucket", "kind", "check"))))
+            new = [k != before for k, before in zip(keys, [last, *keys[:-1]])]  # repeated rows gave it twice
+            last = keys[-1] if keys else last
+            batch = batch.filter(pa.array(new, pa.bool_()))
+            for begin, end, data, bounds in T.slices(batch.column(9)):
+                owner, first, high, _, grams = stretches(data, bounds, span, gram, round_)
+                old = {name: batch.column(i).slice(begin, end - begin) for i, name in enumerate(_NAMES)}
+                low = old["low"].to_numpy()[owner]
+                anchor = old["anchor"].to_numpy()[owner]
+                begins, ends = bounds[owner] + first, bounds[owner] + high + span
+                kinds = kinds_of(data, begins, ends, anchor - low - first + span)
+                bucket = T.mix(T.mix(old["bucket"].to_numpy()[owner].view(np.uint64)) + grams).view(np.int64)
+                rows = pa.array(owner)
+                stretch = [data[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist())]
+                values = [pa.array(bucket), old["doc_id"].take(rows), old["mark"].take(rows), pa.array(kinds[:, 0]), pa.array(kinds[:, 1])]
+                values += [old["copies"].take(rows), pa.array((low + first).astype(np.int32)), pa.array((low + high).astype(np.int32))]
+                values += [old["anchor"].take(rows), pa.array(stretch, pa.binary())]
+                yield pa.RecordBatch.from_arrays(values, names=_NAMES)
+
+    return run
+
+
+def _strings(span: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``_STRETCHES`` rows: ``(bucket, kind, check, copies, doc_id, mark, low, high)`` of each string in them."""
+        for batch in batches:
+            for begin, end, data, bounds in T.slices(batch.column(9)):
+                old = {name: batch.column(i).slice(begin, end - begin) for i, name in enumerate(_NAMES)}
+                low, high, anchor = (old[c].to_numpy() for c in ("low", "high", "anchor"))
+                sizes = high - low + 1
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                step = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                begins = bounds[owner] + step
+                kinds = kinds_of(data, begins, begins + span, anchor[owner] - low[owner] - step + span)
+                rows = pa.array(owner)
+                start = (low[owner] + step).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [old["bucket"].take(rows), pa.array(kinds[:, 0]), pa.array(kinds[:, 1]), old["copies"].take(rows)]
+                    + [old["doc_id"].take(rows), old["mark"].take(rows), pa.array(start), pa.array(start + np.int32(span))],
+                    names=["bucket", "kind", "check", "copies", "doc_id", "mark", "low", "high"],
+                )
+
+    return run
+
+
+def _same_text(left_id: str, left_mark: str) -> Column:
+    return F.col("key").eqNullSafe(F.col(left_id)) & (F.col("mark") == F.col(left_mark))
+
+
+def _first_spans(source: DataFrame, span: int, gram: int) -> DataFrame:
+    """``(id, text_mark, wanted, spans)`` of each text with a shared anchor: stretches to sort, and spans that counting decides."""
+    anchors = stored(source.select("key", "mark", "text").mapInArrow(_anchors(span, gram), _ANCHORS), "anchors")
+    least = [F.min("kind").alias("k0"), F.max("kind").alias("k1"), F.min("check").alias("c0"), F.max("check").alias("c1")]
+    grams = anchors.groupBy("gram").agg(F.count("*").alias("n"), *least)
+    # Stored, so that the join can be split where a gram is hot.
+    shared = stored(grams.where("n > 1").select("gram", F.expr("k0 <> k1 or c0 <> c1").alias("mixed")), "shared-grams")
     met = stored(anchors.join(shared, "gram"), "shared-anchors")
-    span = F.struct("mark", "low", (F.col("high") + SPAN).alias("high"))
-    whole = met.where("not mixed").select("doc_id", span.alias("span"))
+    place = F.struct("low", (F.col("high") + span).alias("high"))
+    whole = met.where("not mixed").select("doc_id", "mark", place.alias("span"))
     one = F.min(F.struct("doc_id", "mark", "low", "high", "anchor")).alias("one")
-    kinds = stored(met.where("mixed").groupBy("gram", "kind").agg(F.count("*").alias("copies"), one), "kinds")
-    often = met.where("mixed").join(kinds.where("copies > 1").select("gram", "kind"), ["gram", "kind"])
-    hot = kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET)
-    hot = hot.select("gram", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts"))
-    parts = kinds.join(hot, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    bucket = F.concat_ws(":", "gram", F.pmod(F.xxhash64("kind"), F.col("parts")))
-    wanted = F.struct(bucket.alias("bucket"), "parts", "one.mark", "kind", "copies", "one.low", "one.high", "one.anchor")
-    rows = whole.union(often.select("doc_id", span)).withColumn("wanted", F.lit(None).cast(parts.select(wanted).schema[0].dataType))
-    rows = rows.union(parts.select("one.doc_id", F.lit(None).cast(rows.schema["span"].dataType), wanted))
+    kinds = stored(met.where("mixed").groupBy("gram", "kind", "check").agg(F.count("*").alias("copies"), one), "kinds")
+    often = met.where("mixed").join(kinds.where("copies > 1").select("gram", "kind", "check"), ["gram", "kind", "check"])
+    hot = stored(kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET).select("gram", F.lit(True).alias("hot")), "hot")
+    parts = kinds.join(hot, "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = F.struct(F.col("gram").alias("bucket"), "hot", "kind", "check", "copies", "one.low", "one.high", "one.anchor")
+    rows = whole.union(often.select("doc_id", "mark", place))
+    rows = rows.withColumn("wanted", F.lit(None).cast(parts.select(wanted).schema[0].dataType))
+    rows = rows.union(parts.select("one.doc_id", "one.mark", F.lit(None).cast(rows.schema["span"].dataType), wanted))
     # Lists of one text's own stretches; collect_list leaves nulls out.
-    return rows.groupBy(F.col("doc_id").alias("id")).agg(
+    return rows.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("text_mark")).agg(
         F.collect_list("wanted").alias("wanted"), F.collect_set("span").alias("spans")
     )
 
 
-def _later_spans(touched: DataFrame) -> DataFrame:
+def _split_hot(rows: DataFrame, span: int, gram: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Spans that counting decides, and ``_STRETCHES`` whose buckets are small enough to sort, of hot ``_STRETCHES``."""
+    spans, ready = [], []
+    by = ["bucket", "kind", "check"]
+    place = ["doc_id", "mark", "low"]
+    for round_ in range(1, ROUNDS + 1):
+        if rows.isEmpty():
+            return spans, ready
+        rows = rows.repartition(*by).sortWithinPartitions(*by)
+        split = stored(rows.mapInArrow(_split(span, gram, round_), _STRETCHES), "split")
+        counts = split.groupBy(*by).agg(F.sum("copies").alias("total"), F.min(F.struct(*place)).alias("one"))
+        counts = stored(counts, "part-kinds")
+        sizes = stored(counts.groupBy("bucket").agg(F.count("*").alias("kinds")).where("kinds > 1"), "part-buckets")
+        known = counts.where("total > 1").select(*by)
+        # Parts of stretches that were repeated as a whole are known already.
+        spans.append(split.where("copies = 1").join(known, by).select(*place, (F.col("high") + span).alias("high")))
+        ids = [F.col("doc_id").eqNullSafe(F.col("one.doc_id")), *[F.col(c) == F.col(f"one.{c}") for c in place[1:]]]
+        heads = split.join(counts, by).where(ids[0] & ids[1] & ids[2]).withColumn("copies", F.col("total"))
+        heads = stored(heads.join(sizes, "bucket").select(*_NAMES, "kinds"), "part-heads")
+        ready.append(heads.where(F.col("kinds") <= BUCKET).select(*_NAMES))
+        rows = heads.where(F.col("kinds") > BUCKET).select(*_NAMES)
+    schema = "bucket bigint, kind bigint, check bigint, copies bigint, doc_id bigint, mark bigint, low int, high int"
+    strings = stored(rows.repartition("bucket", "kind").mapInArrow(_strings(span), schema), "strings")
+    known = strings.groupBy(*by).agg(F.sum("copies").alias("total")).where("total > 1").select(*by)
+    spans.append(strings.where("copies = 1").join(known, by).select(*place, "high"))
+    return spans, ready
+
+
+def _later_spans(touched: DataFrame, span: int, gram: int) -> DataFrame:
     """``(doc_id, mark, low, high)`` found by sorting the wanted stretches of stored ``touched`` texts."""
-    cut = touched.where("size(wanted) > 0").select("key", "mark", "text", "wanted").mapInArrow(_cut_stretches, _STRETCHES)
-    sorted_rows = cut.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, _SORTED)
-    sorted_rows = stored(sorted_rows, "sorted")
-    strings = sorted_rows.where("string is not null")
-    across = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-    # A string that several texts of one part share has one row there; the others of that part are decided already.
-    return sorted_rows.where("string is null").drop("string").union(strings.join(across, "string").drop("string"))
+    wanted = touched.where("size(wanted) > 0").select("key", "mark", "text", "wanted")
+    cut = stored(wanted.mapInArrow(_cut_stretches(span), f"{_STRETCHES}, hot boolean"), "stretches")
+    spans, ready = _split_hot(cut.where("hot").select(*_NAMES), span, gram)
+    ready.append(cut.where("not hot").select(*_NAMES))
+    rows = reduce(DataFrame.union, ready).repartition("bucket").sortWithinPartitions("bucket")
+    spans.append(stored(rows.mapInArrow(_sort_buckets(span), _SPANS), "sorted"))
+    return reduce(DataFrame.union, spans)
 
 
 _FIELDS = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
@@ -352,61 +453,56 @@ def _columns(rows: list[tuple]) -> list[pa.Array]:
     return [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
 
 
+def _own(spans: list[dict] | None) -> list[tuple[int, int]]:
+    return [(s["low"], s["high"]) for s in spans or ()]
+
+
 def _sort_out(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, row, text, wanted, spans)``: with ``mark``, and done with if no stretch of the text is to be sorted."""
+    """Rows ``(key, row, mark, text, wanted, spans)``: done with if no stretch of the text is to be sorted."""
     for batch in batches:
-        for low, high, data, bounds in T.slices(batch.column(2)):
-            count = high - low
-            marks = text_hashes(data, bounds).tolist()
-            wanted = batch.column(3).slice(low, count)
+        for low, high, data, bounds in T.slices(batch.column(3)):
+            old = [batch.column(i).slice(low, high - low) for i in range(6)]
             rows = []
-            for i, (asked, spans) in enumerate(zip(wanted.to_pylist(), batch.column(4).slice(low, count).to_pylist())):
+            for i, (asked, spans) in enumerate(zip(old[4].to_pylist(), old[5].to_pylist())):
                 body = data[bounds[i] : bounds[i + 1]].tobytes()
-                if any(w["mark"] == marks[i] for w in asked or ()):
-                    rows.append((None,) * 5)
-                else:
-                    own = [(s["low"], s["high"]) for s in spans or () if s["mark"] == marks[i]]
-                    rows.append(_cut_out(body, own, texts))
+                rows.append((None,) * 5 if asked else _cut_out(body, _own(spans), texts))
             still = pa.array([low + i if r[0] is None else None for i, r in enumerate(rows)], pa.int64())
-            text = batch.column(2).take(still)  # null where the text is done with
+            old[3] = batch.column(3).take(still)  # null where the text is done with
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).slice(low, count) for i in (0, 1)] + [pa.array(marks, pa.int64()), text]
-                + [batch.column(i).slice(low, count) for i in (3, 4)] + _columns(rows),
-                names=["key", "row", "mark", "text", "wanted", "spans", *NEW],
+                old + _columns(rows), names=["key", "row", "mark", "text", "wanted", "spans", *NEW]
             )
 
 
 def _finish(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
-    """Rows ``(row, mark, text, spans, more)`` of texts whose stretches have been sorted."""
+    """Rows ``(row, text, spans, more)`` of texts whose stretches have been sorted."""
     for batch in batches:
-        bodies, bounds = T.as_bytes(batch.column(2))
+        bodies, bounds = T.as_bytes(batch.column(1))
         rows = []
-        columns = (batch.column(i).to_pylist() for i in (1, 3, 4))
-        for i, (mark, spans, more) in enumerate(zip(*columns)):
-            own = [(s["low"], s["high"]) for s in [*(spans or ()), *(more or ())] if s["mark"] == mark]
-            rows.append(_cut_out(bodies[bounds[i] : bounds[i + 1]].tobytes(), own, texts))
+        for i, (spans, more) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            rows.append(_cut_out(bodies[bounds[i] : bounds[i + 1]].tobytes(), _own(spans) + _own(more), texts))
         if rows:
             yield pa.RecordBatch.from_arrays([batch.column(0), *_columns(rows)], names=["row", *NEW])
 
 
-def removed(docs: DataFrame, texts: bool = True) -> DataFrame:
+def removed(docs: DataFrame, texts: bool = True, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """``docs`` with ``NEW`` in the place of the text; every row of ``docs`` is kept. ``kept_text`` is null without ``texts``.
 
-    All texts are shuffled once, to meet what is known of them; only those with stretches to sort are kept and
-    shuffled again.
+    Strings of ``span`` bytes are judged; ``gram`` is to be less than half of that. All texts are shuffled once, to meet
+    what is known of them; only those with stretches to sort are kept and shuffled again.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    source = docs.select(F.col("doc_id").cast("bigint").alias("key"), row.alias("row"), "text")
-    first = _first_spans(source)
-    joined = source.join(first, F.col("key").eqNullSafe(F.col("id")), "left").select("key", "row", "text", "wanted", "spans")
+    key = F.col("doc_id").cast("bigint").alias("key")
+    source = docs.select(key, row.alias("row"), F.xxhash64("text").alias("mark"), "text")
+    first = _first_spans(source, span, gram)
+    joined = source.join(first, _same_text("id", "text_mark"), "left").select("key", "row", "mark", "text", "wanted", "spans")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
     held = f"key bigint, row {kinds['row']}, mark bigint, text string, wanted {kinds['wanted']}, spans {kinds['spans']}, {_FIELDS}"
     rows = stored(joined.mapInArrow(lambda batches: _sort_out(batches, texts), held), "texts")
     open_rows = rows.where("n_bytes is null")
-    more = _later_spans(open_rows).distinct().groupBy(F.col("doc_id").alias("id"))
-    more = more.agg(F.collect_list(F.struct("mark", "low", "high")).alias("more"))
-    last = open_rows.select("key", "row", "mark", "text", "spans").join(more, F.col("key").eqNullSafe(F.col("id")), "left")
-    last = last.select("row", "mark", "text", "spans", "more").mapInArrow(
+    more = _later_spans(open_rows, span, gram).distinct().groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("text_mark"))
+    more = more.agg(F.collect_list(F.struct("low", "high")).alias("more"))
+    last = open_rows.select("key", "row", "mark", "text", "spans").join(more, _same_text("id", "text_mark"), "left")
+    last = last.select("row", "text", "spans", "more").mapInArrow(
         lambda batches: _finish(batches, texts), f"row {kinds['row']}, {_FIELDS}"
     )
     out = rows.where("n_bytes is not null").select("row", *NEW).union(last)

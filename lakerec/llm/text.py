@@ -1,7 +1,8 @@
 """Arrow and numpy helpers for texts: columns as byte buffers, words, and 64-bit hashes of spans.
 
-A word is a maximal run of bytes outside ``\\x20\\x09-\\x0D``. Hashes are polynomial prefix sums modulo 2**64 over a
-table of random-looking values, brought to position zero and mixed; they are the same in every process.
+A word is a maximal run of bytes outside ``\\x20\\x09-\\x0D``. Hashes of spans are polynomials modulo the prime 2**61 - 1
+in a fixed base drawn at random, brought to position zero and mixed: two different spans of n bytes collide for at most
+n of all bases, whatever they are made of. They are the same in every process.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20  # texts are worked through in slices of about this size, so memory follows the longest text only
 
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+PRIME = np.uint64((1 << 61) - 1)
+BASE = np.uint64(0x0B5C4D1E7A93F26B)  # drawn at random below the prime
+INVERSE = np.uint64(pow(int(BASE), -1, int(PRIME)))
+RUN = 1 << 15  # numbers worked through at once, so that they stay in the processor's cache
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -31,18 +34,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
+def _mod(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.minimum(x, x - PRIME)  # below the prime the difference wraps to a large number
+
+
+def sub_mod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    difference = a - b
+    return np.minimum(difference, difference + PRIME)
+
+
+def mul_mod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product modulo the prime of numbers below it."""
+    if len(a) > 2 * RUN:
+        out = np.empty(len(a), dtype=np.uint64)
+        for at in range(0, len(a), RUN):
+            out[at : at + RUN] = mul_mod(a[at : at + RUN], b[at : at + RUN] if len(b) > 1 else b)
+        return out
+    half, thirty = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+    a_high, a_low, b_high, b_low = a >> np.uint64(31), a & half, b >> np.uint64(31), b & half
+    middle = a_low * b_high + a_high * b_low
+    total = (a_high * b_high << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & thirty) << np.uint64(31)) + a_low * b_low
+    return _mod(total)
+
+
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
 def powers(n: int, which: str = "up") -> np.ndarray:
     """The first ``n`` powers of the base (``up``) or of its inverse (``down``), kept between calls."""
-    if len(_powers[which]) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        factors = np.full(size, BASE if which == "up" else INVERSE, dtype=np.uint64)
-        factors[0] = 1
-        _powers[which] = np.cumprod(factors, dtype=np.uint64)
-    return _powers[which][:n]
+    held = _powers[which]
+    step = pow(int(BASE if which == "up" else INVERSE), len(held), int(PRIME))
+    while len(held) < max(n, SLICE_BYTES):
+        held = np.concatenate([held, mul_mod(held, np.array([step], dtype=np.uint64))])
+        step = step * step % int(PRIME)
+    _powers[which] = held
+    return held[:n]
 
 
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,25 +113,36 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """For each place the sum, modulo the prime, of (byte + 1) times the power of its place over all bytes before it."""
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUE[data] * powers(len(data)), out=sums[1:])
+    up = powers(len(data))
+    half = np.uint64(0xFFFFFFFF)
+    carry = np.uint64(0)
+    for at in range(0, len(data), RUN):
+        value, power = data[at : at + RUN].astype(np.uint64) + np.uint64(1), up[at : at + RUN]
+        low, high = np.cumsum(value * (power & half)), _mod(np.cumsum(value * (power >> np.uint64(32))))
+        # high * 2**32, where 2**61 counts as 1
+        shifted = ((high << np.uint64(32)) & PRIME) + (high >> np.uint64(29))
+        part = _mod(_mod(low) + shifted + carry)
+        sums[at + 1 : at + 1 + len(part)] = part
+        carry = part[-1]
     return sums
 
 
 def span_hashes(sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One hash per span: equal bytes give equal hashes wherever they stand."""
     down = powers(len(sums), "down")
-    lengths = (ends - begins).astype(np.uint64)
-    return mix((sums[ends] - sums[begins]) * down[begins] + lengths)
+    value = mul_mod(sub_mod(sums[ends], sums[begins]), down[begins])
+    return mix(value ^ mix((ends - begins).astype(np.uint64)))
 
 
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
     """A hash for each run of ``width`` consecutive values (len - width + 1 of them), order included."""
     count = max(0, len(values) - width + 1)
-    total = np.zeros(count, dtype=np.uint64)
+    total = np.full(count, width, dtype=np.uint64)
     for k in range(width):
-        total = (total + values[k : k + count]) * BASE
-    return mix(total)
+        total = mix(total + values[k : k + count])
+    return total
 
 
 def shingles(data: np.ndarray, bounds: np.ndarray, width: int = 5) -> list[np.ndarray]:

@@ -242,7 +242,10 @@ def deduplicate(resolved: DataFrame, folder: str, target: str) -> DataFrame:
                 [pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64())], names=["file", "records"]
             )
 
-    ordered = resolved.repartition("file").sortWithinPartitions("file", "offset")
+    resolved = stored(resolved, "resolved")
+    files = resolved.select("file").distinct().count()
+    # A file is a task's work: its headers are small, its payloads are not.
+    ordered = resolved.repartitionByRange(max(1, files), "file").sortWithinPartitions("file", "offset")
     return stored(ordered.mapInArrow(run, "file string, records bigint"), "archives")
 
 
@@ -275,7 +278,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _read_rows(rows)
 
-    spread = archives.select("file").repartition(max(1, archives.sparkSession.sparkContext.defaultParallelism), "file")
+    spread = archives.select("file").repartitionByRange(max(1, archives.count()), "file")
     return spread.mapInArrow(run, _READ)
 
 

@@ -55,6 +55,23 @@ def test_neighbours_recall(spark):
     assert hits / (5 * len(found)) >= 0.9
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_neighbours_recall_on_larger_tables(spark, sf):
+    folder = SF.replace("sf0.001", sf)
+    found = {}
+    for r in queries.op1_multiprobe_ann(spark, folder).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    unit = np.stack(rows.embedding.to_numpy()).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    hits = 0
+    for i in np.flatnonzero(rows.vec_id % 50 == 0).tolist():
+        near = unit @ unit[i]
+        near[i] = -2
+        hits += len(set(rows.vec_id[np.argsort(-near)[:5]].tolist()) & found[rows.vec_id[i]])
+    assert hits / (5 * len(found)) >= 0.95
+
+
 def test_neighbours_odd_vectors_copies_and_few_rows(spark):
     rng = np.random.default_rng(2)
     near = rng.standard_normal(8)
@@ -365,7 +382,7 @@ def test_each_stage_on_its_own_input(spark, library):
             classes = R.jaccard_classes([(r.doc_id, r.text) for r in before])
             assert {r.doc_id for r in after} == {d for d, (_, c) in classes.items() if c == d}
         if name == "suffix-array dedup":
-            expected = {r.doc_id: e for r, e in zip(before, R.repeats([r.text for r in before], 400))}
+            expected = {r.doc_id: e for r, e in zip(before, R.repeats([r.text for r in before], corpus_pipeline.REPEAT_BYTES))}
             for r in after:
                 assert expected[r.doc_id][3] == hashlib.sha256(r.text.encode()).hexdigest()
                 assert r.n_chars == len(r.text)

@@ -8,6 +8,7 @@ import reference as R
 from pyspark.sql import functions as F
 
 from lakerec.llm import ngram_join, paragraph_dedup, quality, suffix_dedup
+from lakerec.llm import text as T
 from lakerec.llm.components import components
 
 ODD = [None, "", "   \n\t ", "one", "one two", "a\x0bb\x0cc d e", "É é ß 日本 語 x y z", "#*$ %&|<> a b c d e f"]
@@ -44,6 +45,50 @@ def frame(spark, rows, schema="doc_id bigint, text string"):
     return spark.createDataFrame(rows, schema)
 
 
+def twins(n):
+    """Two texts of n letters that differ in each, and collide in any polynomial hash modulo a power of two (n >= 1024)."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_structured_texts_do_not_collide(spark, n):
+    a, b = twins(n)
+    words = np.frombuffer(f"{a} {b}".encode(), dtype=np.uint8)
+    hashes = T.span_hashes(T.prefix_sums(words), np.array([0, n + 1]), np.array([n, 2 * n + 1]))
+    assert hashes[0] != hashes[1]
+    rows = [(1, a), (1, b), (2, f"{a} x\n{b} x\n{a} x"), (3, f"p {a} q r {b}\nz p {b} q r {a}")]
+    links = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.jaccard_classes(frame(spark, [(7, a), (8, b)])).collect()}
+    assert links == {(7, 1): 7, (8, 1): 8}
+    docs = frame(spark, [(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    judged = {(r.doc_id, r.text): r.n_dup_lines for r in quality.judged_rows(docs).collect()}
+    assert judged == {(i, t): R.quality_counts(t)[3] for i, t in rows}
+    own = frame(spark, [(1, a * 2), (1, b * 2), (1, "other")])  # one id; each repeats only inside of itself
+    cut = {r.n_bytes: set() for r in suffix_dedup.removed(own).collect()}
+    for r in suffix_dedup.removed(own).collect():
+        cut[r.n_bytes].add(r.kept_sha256)
+    expected = R.repeats([a * 2, b * 2, "other"], 400)
+    assert cut == {2 * n: {e[3] for e in expected[:2]}, 5: {expected[2][3]}}
+    five = " c d e f"
+    kept = sorted(r.kept_text for r in paragraph_dedup.removed(frame(spark, [(1, a + five), (1, b + five), (2, a + five)])).collect())
+    assert kept == sorted([a + five, b + five, ""])
+
+
+def test_prime_field_arithmetic():
+    rng = np.random.default_rng(1)
+    p = int(T.PRIME)
+    a, b = (np.append(rng.integers(0, p, 70_000), [0, p - 1, p - 1, 1]).astype(np.uint64) for _ in range(2))
+    for f, g in ((T.mul_mod, lambda x, y: x * y % p), (T.sub_mod, lambda x, y: (x - y) % p)):
+        assert f(a, b)[-500:].tolist() == [g(x, y) for x, y in zip(a[-500:].tolist(), b[-500:].tolist())]
+    data = rng.integers(0, 256, 70_000).astype(np.uint8)
+    sums, base = T.prefix_sums(data), int(T.BASE)
+    for begin, end in ((0, 9), (32_760, 32_780), (65_000, 66_000)):
+        exact = sum((int(data[i]) + 1) * pow(base, i, p) for i in range(begin, end)) % p
+        assert (int(sums[end]) - int(sums[begin])) % p == exact
+
+
 @pytest.mark.parametrize("limits", [None, (7, 10**9), (3, 1500)])
 def test_jaccard_classes_equal_brute_force(spark, corpus, monkeypatch, limits):
     if limits:  # large clusters: salted blocks, contraction, and the blocks of what is left
@@ -95,19 +140,21 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [2_000, 2])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, bucket):
-    """``bucket`` 2 sends every border of a repeat through several sorts and the count across them."""
+@pytest.mark.parametrize("bucket, rounds, span, gram", [(2_000, 6, 400, 128), (2, 6, 400, 128), (2, 1, 240, 96)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, bucket, rounds, span, gram):
+    """``bucket`` 2 splits the borders of repeats by further anchors; what one round leaves is counted string by string."""
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    monkeypatch.setattr(suffix_dedup, "ROUNDS", rounds)
     rng = random.Random(5)
     passage, long = prose(rng, 90), prose(rng, 300)
     texts = ODD + [passage, "é" * 500, "é" * 500, "a" * 3000, long, long, "x" + long]
     texts += [prose(rng, 30) + " " + passage + " " + prose(rng, 30) for _ in range(20)]
     texts += [long[: rng.randrange(500, 900)] + prose(rng, 20) for _ in range(6)]
     texts += [prose(rng, 200), passage[:399], "y" + long[7:407] + "y", "z" + long[7:406] + "z", "ab" * 300]
+    texts += [edited(rng, long, 2) for _ in range(12)]
     rows = list(enumerate(texts))
-    found = {r.doc_id: r for r in suffix_dedup.removed(frame(spark, rows)).collect()}
-    for i, expected in enumerate(R.repeats(texts, suffix_dedup.SPAN)):
+    found = {r.doc_id: r for r in suffix_dedup.removed(frame(spark, rows), span=span, gram=gram).collect()}
+    for i, expected in enumerate(R.repeats(texts, span)):
         r = found[i]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected, texts[i]
 
@@ -124,6 +171,26 @@ def test_suffix_dedup_keeps_rows_and_columns(spark):
     assert suffix_dedup.removed(frame(spark, [])).count() == 0
 
 
+def test_hot_variants_give_rows_in_proportion(spark, monkeypatch):
+    """Near copies of one text: no table on the way has a row for each byte, or more than a few for each document."""
+    made = []
+    real = suffix_dedup.stored
+
+    def watched(df, label):
+        out = real(df, label)
+        made.append((out.count(), label))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", watched)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 50)
+    rng = random.Random(14)
+    base = prose(rng, 200)
+    texts = [edited(rng, base, rng.randrange(1, 5)) for _ in range(300)]
+    found = {r.doc_id: r.kept_sha256 for r in suffix_dedup.removed(frame(spark, list(enumerate(texts)))).collect()}
+    assert found == {i: e[3] for i, e in enumerate(R.repeats(texts, 400))}
+    assert {"split", "sorted"} <= {label for _, label in made} and max(made)[0] < 12 * len(texts)
+
+
 def test_merge_sort_orders_suffixes():
     rng = random.Random(2)
     body = "".join(rng.choice("ab") for _ in range(1500)).encode() * 2
@@ -232,6 +299,27 @@ def test_paragraph_dedup_removes_short_lines(spark):
         assert (found[i].kept_text, found[i].n_removed, found[i].kept_docs) == ("", 1, [first])
 
 
+def test_paragraph_dedup_repeated_rows_clashing_columns_and_long_lines(spark):
+    rng = random.Random(15)
+    long = prose(rng, 40_000, 100_000)
+    inside = prose(rng, 60)
+    rows = [(1, "same line of five words", 1), (1, "same line of five words", 2), (2, long, 3), (3, edited(rng, long, 30), 4)]
+    rows += [(4, f"{prose(rng, 80)} {inside} {prose(rng, 80)}", 5), (5, f"{prose(rng, 90)} {inside} {prose(rng, 70)}", 6)]
+    docs = frame(spark, rows, "doc_id bigint, text string, n_removed int").withColumns({"line": F.lit(1), "cls": F.lit("c")})
+    out = paragraph_dedup.removed(docs)
+    assert out.columns == ["doc_id", "line", "cls", *paragraph_dedup.NEW]
+    found = sorted((r.doc_id, r.n_paragraphs + r.n_short, r.n_removed, len(r.kept_text)) for r in out.collect())
+    # The repeats of a row keep the first row's line; a passage inside of longer lines that are not alike stays.
+    expected = [(1, 1, 0, 23)] * 2 + [(2, 1, 0, len(long)), (3, 1, 1, 0)] + [(i, 1, 0, len(t)) for i, t, _ in rows[4:]]
+    assert found == expected
+
+
+def test_jaccard_classes_with_clashing_columns(spark, corpus):
+    docs = frame(spark, corpus[:40]).withColumns({"cls": F.lit(b"x"), "n": F.lit(1), "mark": F.lit(2), "id": F.lit(3)})
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(docs).collect()}
+    assert found == R.jaccard_classes(corpus[:40])
+
+
 def test_bands_are_tuned_to_the_recall():
     for rows in (1, 2, 3, 5):
         bands = paragraph_dedup.tune(rows=rows)
