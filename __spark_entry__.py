@@ -10,7 +10,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakerec import fixed
@@ -21,6 +21,7 @@ from lakerec.operators.payloads import with_json_fields
 from lakerec.operators.profile import profile
 from lakerec.operators.upsert import fold_batch, upsert
 from lakerec.plans import jobs, serve
+from lakerec.plans.ledger import refresh_changed
 from lakerec.session import new_scratch, stored
 from lakerec.sources import files, lookup, proxies
 from lakerec.sources.proxies import table
@@ -72,10 +73,10 @@ def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def bronze_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """The four raw tables as nested CSV files, landed under their names, and every landed value as text."""
+    """The four raw tables as nested folders of CSV parts, landed under their names, and every landed value as text."""
     source, target = new_scratch(spark, "download"), new_scratch(spark, "landed")
     for name, df in _raw(spark, sf).items():
-        files.write_csv_file(df, f"{source}/set/{name}.csv")
+        files.write_csv(df, f"{source}/set/{name}.csv")
     files.land_csv(spark, source, target)
 
     def landed(name: str, columns: list[str]) -> DataFrame:
@@ -209,6 +210,20 @@ def als_rank_one(spark: SparkSession, sf: str) -> DataFrame:
     return side("user", factors.users).union(side("item", factors.items))
 
 
+def als_rank_two(spark: SparkSession, sf: str) -> DataFrame:
+    """At rank 2 a half step has a closed form by cases of sign, so SQL can follow two iterations from a given start."""
+    ratings = stored(proxies.ratings(spark, sf), "ratings")
+    users = ratings.select(F.col("userId").alias("id")).distinct()
+    features = F.array((F.col("id") % 7 + 1) / 8, (F.col("id") % 5) / 4)
+    factors = als.factorise(ranking.with_freshness(ratings), rank=2, max_iter=2, start=users.withColumn("features", features))
+
+    def side(name: str, df: DataFrame) -> DataFrame:
+        both = [F.round(F.col("features")[k].cast("double"), 3).alias(c) for k, c in enumerate(("first", "second"))]
+        return df.select(F.lit(name).alias("side"), "id", *both)
+
+    return side("user", factors.users).union(side("item", factors.items))
+
+
 def recommend_rank_one(spark: SparkSession, sf: str) -> DataFrame:
     """The whole gold job at rank 1: the ten scores of every user, best first."""
     best = jobs.recommend(stored(proxies.ratings(spark, sf), "ratings"), rank=1, max_iter=3)
@@ -263,6 +278,40 @@ def enrich_fetch(spark: SparkSession, sf: str) -> DataFrame:
     return lookup.details(payloads)
 
 
+class _StepClock(lookup.Clock):
+    """Time that passes only by waiting and by calls, in whole sixteenths of a second."""
+
+    def __init__(self):
+        self.time = 0.0
+
+    def now(self) -> float:
+        return self.time
+
+    def sleep(self, seconds: float) -> None:
+        self.time += seconds
+
+
+def _slow_client(clock: lookup.Clock) -> lookup.Client:
+    def client(key: int) -> str | None:
+        clock.sleep((key % 4) / 16)  # up to 0.1875 s
+        return None
+
+    return client
+
+
+def enrich_pacing(spark: SparkSession, sf: str) -> DataFrame:
+    """The schedule of all calls: how many, by how many clients, the least and the longest gap, and calls out of time."""
+    keys = lookup.resolvable(proxies.links_raw(spark, sf))
+    calls = stored(lookup.fetch_calls(keys, _slow_client, clients=4, min_interval_s=0.125, clock_factory=_StepClock), "calls")
+    order = Window.partitionBy("client").orderBy("called_at")
+    took = F.greatest(F.lit(0.125), F.lag(F.col("tmdbId") % 4 / 16).over(order))
+    gaps = calls.select("client", (F.col("called_at") - F.lag("called_at").over(order)).alias("gap"), took.alias("due"))
+    return gaps.agg(
+        F.count("*").alias("calls"), F.count_distinct("client").alias("clients"), F.min("gap").alias("least_gap"),
+        F.max("gap").alias("most_gap"), F.count_if(F.col("gap") != F.col("due")).alias("off_schedule"),
+    )
+
+
 def json_defaults(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "props")
     return with_json_fields(events, "props", {"k": -1, **fixed.DETAIL_DEFAULTS})
@@ -382,18 +431,41 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
         jobs.refresh_all(spark, f"{place}/landed", tables, captured=proxies.payloads(spark, sf), model_path=f"{place}/model")
 
     def seen(name: str) -> DataFrame:
-        df = spark.table(getattr(tables, name)).drop("embedding", "score", "updated_at", "genres")
+        df = spark.table(getattr(tables, name)).drop("embedding", "score", "updated_at")
         if "timestamp" in df.columns:
             df = _zoneless(df)
+        if name == "movies":
+            df = df.withColumn("genres", F.array_join("genres", "|"))
         found = profile(df, exact=True)
         if name == "recommendations":  # which films are kept depends on the factors
-            found = found.where("column = 'userId'")
+            free = F.col("column") == "movieId"
+            found = found.withColumns({c: F.when(~free, F.col(c)) for c in ("distinct", "min", "max")})
         return found.select(F.lit(name).alias("table"), "column", "rows", "nulls", "distinct", "min", "max")
 
     names = ["movies", "ratings", "tags", "links", "recommendations", "details", "vectors"]
     return reduce(DataFrame.unionByName, map(seen, names))
 
 
+def refresh_by_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Which jobs run, and the rows they write: at first all, then one changed input, then the other three, then none."""
+    place = new_scratch(spark, "versions")
+    tag = place.rpartition("-")[2]
+    tables = jobs.Tables(f"silver_{tag}", f"gold_{tag}")
+    for namespace in (tables.silver, tables.gold):
+        ensure_namespace(spark, f"{namespace}.any", f"{place}/{namespace}")
+    raw = _raw(spark, sf)
+    again = raw["links"].where("movieId % 50 = 2").withColumn("tmdbId", F.col("movieId") + 1)
+    raw["links"] = raw["links"].union(again)
+    more_tags = raw["tags"].union(raw["tags"].withColumn("tag", F.upper("tag")))
+    rows = []
+    for number, new in enumerate([raw, {"tags": more_tags}, {n: raw[n] for n in ("movies", "ratings", "links")}, {}], 1):
+        for name, df in new.items():
+            files.write_csv(df, f"{place}/landed/{name}.csv")
+        ran = refresh_changed(spark, f"{place}/landed", tables, captured=proxies.payloads(spark, sf), model_path=f"{place}/model")
+        rows += [(number, job, spark.table(getattr(tables, job)).count()) for job in ran]
+    return spark.createDataFrame(rows, "round int, job string, rows bigint")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return recommend_gold(spark, "/root/testdata/sf0.001")
@@ -427,6 +499,7 @@ def queries() -> dict[str, Query]:
         "als_candidates": als_candidates,
         "recommend_gold": recommend_gold,
         "als_rank_one": als_rank_one,
+        "als_rank_two": als_rank_two,
         "recommend_rank_one": recommend_rank_one,
         "serve_recs": serve_recs,
         "serve_history": serve_history,
@@ -434,6 +507,7 @@ def queries() -> dict[str, Query]:
         "links_first_500": links_first_500,
         "enrich_lookup": enrich_lookup,
         "enrich_fetch": enrich_fetch,
+        "enrich_pacing": enrich_pacing,
         "json_defaults": json_defaults,
         "cosine_similarity": cosine,
         "similarity_percent": percent,
@@ -446,6 +520,7 @@ def queries() -> dict[str, Query]:
         "semantic_search": semantic_search,
         "semantic_search_external": semantic_search_external,
         "full_refresh": full_refresh,
+        "refresh_by_version": refresh_by_version,
         **LLM_QUERIES,
     }
     return {name: _in_utc(query) for name, query in registered.items()}
@@ -467,6 +542,7 @@ _CTES = {
                string_split(genres, '|') as genres,
                try_cast(regexp_extract(title, '\((\d{4})\)', 1) as integer) as year
         from movies_raw""",
+    "flat_movies": """select "movieId", title, array_to_string(genres, '|') as genres, year from movies""",
     "movies_json": """
         select "movieId", title, '["' || array_to_string(genres, '","') || '"]' as genres, year from movies""",
     "links": """
@@ -517,6 +593,25 @@ _CTES |= {
             (f"u{step}", "userId", f"i{step}", "movieId"),
         )
     },
+    "v0": """select distinct "userId", (("userId" % 7 + 1) / 8.0)::float::double as x, (("userId" % 5) / 4.0)::float::double as y from fresh""",
+    **{
+        name: f"""
+        select id, (case when s1 >= 0 and s2 >= 0 then s1 when a12 * b1 >= b2 * a11 and b1 > 0 then b1 / a11
+                         when b2 > 0 then 0.0 else greatest(b1, 0.0) / a11 end)::float::double as x,
+               (case when s1 >= 0 and s2 >= 0 then s2 when a12 * b1 >= b2 * a11 and b1 > 0 then 0.0
+                     else greatest(b2, 0.0) / a22 end)::float::double as y, id as "{wanted}"
+        from (
+            select *, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) as s1, (b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12) as s2
+            from (
+                select f."{wanted}" as id, sum(x * x) + 0.1 * count(*) as a11, sum(x * y) as a12,
+                       sum(y * y) + 0.1 * count(*) as a22, sum(r::float::double * x) as b1, sum(r::float::double * y) as b2
+                from fresh f join {known} k on f."{other}" = k."{other}" group by 1))"""
+        for step in (1, 2)
+        for name, wanted, known, other in (
+            (f"j{step}", "movieId", f"v{step - 1}", "userId"),
+            (f"v{step}", "userId", f"j{step}", "movieId"),
+        )
+    },
     "users": """select "userId" from (select distinct "userId" from ratings), range(10)""",
     "all_links": """
         select * from links
@@ -528,7 +623,8 @@ _CTES |= {
                coalesce((n_chars % 100)::double / 10, 0.0) as vote_average
         from (select * from all_links where "tmdbId" <> 0) left join documents on doc_id = "tmdbId" """,
     "all_vectors": """
-        select "movieId", any_value(title) as title, arg_max(overview, "tmdbId") as overview
+        select "movieId", any_value(title) as title, any_value(array_to_string(genres, ', ')) as genres,
+               arg_max(overview, "tmdbId") as overview
         from movies join all_details using ("movieId") where overview <> '' group by 1""",
     "letters": """
         select "movieId", title, overview, '["' || array_to_string(genres, '","') || '"]' as genres,
@@ -539,6 +635,8 @@ _NEEDS = {
     "fresh": ["ratings"],
     "u0": ["fresh"],
     **{f"{side}{step}": [f"u{step - 1}" if side == "i" else f"i{step}"] for step in (1, 2, 3) for side in "iu"},
+    "v0": ["fresh"],
+    **{f"{side}{step}": [f"v{step - 1}" if side == "j" else f"j{step}"] for step in (1, 2) for side in "jv"},
     "letters": ["input"],
     "users": ["ratings"],
     "all_links": ["links"],
@@ -546,6 +644,7 @@ _NEEDS = {
     "all_vectors": ["movies", "all_details"],
     "movies": ["movies_raw"],
     "movies_json": ["movies"],
+    "flat_movies": ["movies"],
     "scored": ["ratings"],
     "top": ["scored"],
     "resolvable": ["links"],
@@ -709,19 +808,34 @@ def oracle_sql() -> dict[str, str]:
             from input""",
         ),
         "full_refresh": _profile_sql(
-            ["ratings", "tags", "movies", "all_links", "users", "all_details", "all_vectors"],
+            ["ratings", "tags", "flat_movies", "all_links", "users", "all_details", "all_vectors"],
             {
-                "movies": ["movieId", "title", "year"],
+                "flat_movies": ["movieId", "title", "genres", "year"],
                 "ratings": ["userId", "movieId", "rating", "timestamp"],
                 "tags": ["userId", "movieId", "tag", "timestamp"],
                 "all_links": ["movieId", "imdbId", "tmdbId"],
                 "users": ["userId"],
                 "all_details": ["movieId", "tmdbId", "overview", "poster_path", "budget", "revenue", "vote_average"],
-                "all_vectors": ["movieId", "title", "overview"],
+                "all_vectors": ["movieId", "title", "genres", "overview"],
             },
         )
         .replace("select 'all_", "select '")
-        .replace("select 'users'", "select 'recommendations'"),
+        .replace("select 'flat_", "select '")
+        .replace("select 'users'", "select 'recommendations'")
+        + """ union all select 'recommendations', 'movieId', count(*), 0, null, null, null from users""",
+        "refresh_by_version": _with(
+            ["ratings", "tags", "movies", "all_links", "users", "all_details", "all_vectors"],
+            """
+            select round::int as round, job, rows from (
+                select 'movies' as job, (select count(*) from movies) as rows, [1, 3] as rounds
+                union all select 'ratings', (select count(*) from ratings), [1, 3]
+                union all select 'links', (select count(*) from all_links), [1, 3]
+                union all select 'recommendations', (select count(*) from users), [1, 3]
+                union all select 'details', (select count(*) from all_details), [1, 3]
+                union all select 'vectors', (select count(*) from all_vectors), [1, 3]
+                union all select 'tags', (select count(*) from tags), [1]
+                union all select 'tags', (select 2 * count(*) from tags), [2]), unnest(rounds) r(round)""",
+        ),
         "bronze_landing": _with(
             ["movies_raw", "ratings", "links"],
             """
@@ -742,6 +856,12 @@ def oracle_sql() -> dict[str, str]:
             select 'user' as side, "userId" as id, round(x, 3) as factor from u3
             union all select 'item', "movieId", round(x, 3) from i3""",
         ),
+        "als_rank_two": _with(
+            ["v2"],
+            """
+            select 'user' as side, id, round(x, 3) as first, round(y, 3) as second from v2
+            union all select 'item', id, round(x, 3), round(y, 3) from j2""",
+        ),
         "recommend_rank_one": _with(
             ["u3"],
             """
@@ -757,6 +877,13 @@ def oracle_sql() -> dict[str, str]:
                     where k <= 50))
             where place <= 10""",
         ),
+        "enrich_pacing": _with(
+            ["resolvable"],
+            """
+            select count(*) as calls, least(count(*), 4) as clients, 0.125::double as least_gap,
+                   greatest(0.125, max("tmdbId" % 4) / 16.0)::double as most_gap, 0::bigint as off_schedule
+            from resolvable""",
+        ),
         "enrich_fetch": _with(
             ["resolvable"],
             """

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from lakerec.llm import bpe, mixing, ngram_join, quality, suffix_dedup
 from lakerec.llm.queries import vocabulary
-from lakerec.session import stored
+from lakerec.session import new_scratch, scratch_scope
 
 ORACLE_SQL = None
+REPEAT_BYTES = 240  # a passage of fifty words is rarely shorter
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,34 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies one row; documents without words all stay.
-
-    The row that stays is the least by id, null ids last, then by the text's digest, so rows of a shared or null id are
-    told apart. Repeated rows of one document count as one.
-    """
-    marked = docs.withColumn("__mark", F.unhex(F.md5("text")))
-    rows = ngram_join.grouped_rows(marked.select("doc_id", "text", "__mark"), "__mark").where("n_shingles > 0")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__mark")
-    rows = stored(rows.select("group.root", "group.cls", "doc_id", "__mark", key.alias("key")), "classes")
-    ends = rows.groupBy("root", "cls").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    first = ends.where("not (first <=> last)").select(F.col("root").alias("r"), F.col("cls").alias("c"), "first")
-    one_class = F.col("root").eqNullSafe(F.col("r")) & F.col("cls").eqNullSafe(F.col("c"))
-    gone = rows.join(first, one_class).where("not (key <=> first)")
-    named = [F.col("doc_id").alias("__id"), F.col("__mark").alias("__text")]
-    gone = gone.select(*named).distinct()
-    twice = rows.groupBy("doc_id", "__mark").agg(F.count("*").alias("n")).where("n > 1")
-    twice = stored(twice.select(*named), "repeated")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__text"))
-    kept = marked.join(gone, same, "left_anti")
-    if twice.isEmpty():
-        return kept.drop("__mark")
-    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(twice, same, "left_anti").unionByName(once).drop("__mark")
+    """Of each class of near copies one row; documents without words all stay."""
+    return ngram_join.kept_rows(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with the byte strings that occur elsewhere cut out of its text."""
-    cut = suffix_dedup.removed(docs)
+    cut = suffix_dedup.removed(docs, span=REPEAT_BYTES, gram=REPEAT_BYTES * 2 // 5)
     cut = cut.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("bigint"))
     return cut.select(*docs.columns)
 
@@ -80,5 +60,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_scratch(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):  # what a stage stores on its way goes when its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -85,6 +85,42 @@ def test_split_form_does_not_depend_on_plan_pieces_or_partitions(planted):
             assert max(np.abs(x[k] - y[k]).max() for k in x) < 1e-4
 
 
+def test_packed_half_steps_shuffle_nothing_but_busy_ids(planted, plan):
+    train, _ = planted
+    for pieces_of, exchanges in ((als.MAX_RATINGS_PER_ID, 0), (10, 1)):
+        fit = als._Fit(train.withColumnRenamed("fresh_rating", "rating"), 3, 0.1, pieces_of, 1 << 20, None)
+        users = fit.kept("userId", als._start(fit.counts["userId"], 3, 1))
+        assert plan(fit.by_broadcast("movieId", users)).count("Exchange") == exchanges
+
+
+def test_a_long_row_is_summed_in_parts(planted, monkeypatch):
+    train, _ = planted
+    whole = als.factorise(train, rank=3, max_iter=2)
+    triples = train.withColumnRenamed("fresh_rating", "rating")
+    fit = als._Fit(triples, 3, 0.1, als.MAX_RATINGS_PER_ID, 1 << 20, None)
+    users = fit.kept("userId", whole.users)
+    run = als._fit_packed(type("Known", (), {"value": users}), 3, 0.1)
+    rows = fit.packed("movieId").toArrow().combine_chunks().to_batches()
+    expected = list(run(iter(rows)))
+    monkeypatch.setattr(als, "ROW_LOT", 7)
+    found = list(run(iter(rows)))
+    mine, theirs = ([x for b in side for x in zip(*(c.to_pylist() for c in b.columns[:2]))] for side in (found, expected))
+    assert [i for i, _ in mine] == [i for i, _ in theirs]
+    np.testing.assert_allclose([f for _, f in mine], [f for _, f in theirs], atol=1e-5)
+
+
+def test_a_start_is_taken_up(planted, spark):
+    train, _ = planted
+    first = als.factorise(train, rank=3, max_iter=6)
+    again = als.factorise(train, rank=3, max_iter=1, start=first.users.where("id % 2 = 0"))
+    fresh = als.factorise(train, rank=3, max_iter=1)
+    assert objective(again, train) < objective(fresh, train)
+    seven = als.factorise(train, rank=3, max_iter=7)
+    more = als.factorise(train, rank=3, max_iter=1, start=first.users)
+    mine, theirs = ({r.id: np.array(r.features) for r in f.users.collect()} for f in (seven, more))
+    assert max(np.abs(mine[k] - theirs[k]).max() for k in mine) < 1e-4
+
+
 @given(st.integers(0, 2**32 - 1), st.integers(1, 10), st.integers(1, 60))
 @settings(max_examples=60, deadline=None)
 def test_nonnegative_least_squares(seed, rank, n):

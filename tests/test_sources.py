@@ -1,4 +1,5 @@
 import json
+import random
 import sys
 import time
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakerec import session
 from lakerec.operators import silver
-from lakerec.sources import files, lookup, tables
+from lakerec.sources import files, lookup, multiline, tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import this file
 
@@ -50,6 +51,69 @@ def test_multi_line_tags(spark, tmp_path):
     assert [(r.userId, r.movieId, r.tag) for r in rows] == [(1, 17, 'say "hi",\nbob'), (4, 20, "fine")]
 
 
+ODD_CSV = (
+    'k,v,"w\nx"\n1,plain,a\n2,"two\r\nlines\n\n",b\n\n3,"""",\n4,"",c,more\n5,"é ""x"", y",z\n6\n7,"a\n"",""\nb","\n"\n8, padded ,last'
+)
+
+
+def spark_reader(spark, path, schema):
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.schema(schema).csv(path)
+
+
+@pytest.mark.parametrize("size, ranges", [(4, 10**6), (30, 10**6), (1000, 10**6), (11, 0)])
+def test_multi_line_files_are_read_by_ranges(spark, conf, tmp_path, size, ranges):
+    """Any cut gives what Spark's own reader gives; records cross one border, or several."""
+    conf(spark__sql__files__maxPartitionBytes=str(size), spark__sql__files__openCostInBytes="0")
+    path = write(tmp_path / "odd/a.csv", ODD_CSV)
+    write(tmp_path / "odd/b.csv", "k,v,w\n9,x,y\n")
+    write(tmp_path / "odd/c.csv", "k,v,w\n")
+    write(tmp_path / "odd/d.csv", "")
+    schema = "k string, v string, w string"
+    for place in (path, f"{tmp_path}/odd"):
+        found = multiline.read_multiline_csv(spark, place, schema, max_broadcast_ranges=ranges)
+        expected = sorted(map(tuple, spark_reader(spark, place, schema).collect()), key=str)
+        assert sorted(map(tuple, found.collect()), key=str) == expected and len(expected) >= 8
+
+
+def test_multi_line_records_may_end_with_carriage_returns(spark, tmp_path):
+    path = write(tmp_path / "crlf.csv", 'k,v\r\n1,"a\r\nb"\r\n2,c\r\n\r\n3,\r\n')
+    found = files.read_csv(spark, path, "k int, v string", multi_line=True)
+    assert sorted(map(tuple, found.collect())) == [(1, "a\r\nb"), (2, "c"), (3, None)]
+
+
+def test_multi_line_long_file_in_many_ranges(spark, conf, tmp_path):
+    rng = random.Random(1)
+    rows = []
+    for i in range(20_000):
+        text = "".join(rng.choice('ab ,"\né') for _ in range(rng.randrange(20)))
+        rows.append((i, text if i % 3 else "line " * (i % 50), "end"))
+    quoted = "".join('%d,"%s",%s\n' % (k, v.replace('"', '""'), w) for k, v, w in rows)
+    path = write(tmp_path / "long.csv", "k,v,w\n" + quoted)
+    conf(spark__sql__files__maxPartitionBytes="30000", spark__sql__files__openCostInBytes="0")
+    found = files.read_csv(spark, path, "k int, v string, w string", multi_line=True)
+    assert found.columns == ["k", "v", "w"] and found.rdd.getNumPartitions() > 1
+    assert sorted(map(tuple, found.collect())) == [(k, v or None, w) for k, v, w in rows]
+
+
+def test_multi_line_columns_from_the_header(spark, tmp_path):
+    path = write(tmp_path / "h.csv", 'k,"a ""b""\nc"\n1,"x\ny"\n')
+    found = files.read_csv(spark, path, multi_line=True)
+    assert found.columns == ["k", 'a "b"\nc'] and [tuple(r) for r in found.collect()] == [("1", "x\ny")]
+
+
+def test_landing_reads_folders_of_parts_in_one_plan(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "concat('line', chr(10), id) as tag")
+    files.write_csv(df.repartition(7), f"{tmp_path}/raw/deep/tags.csv")
+    files.write_csv(df.select("id").repartition(3), f"{tmp_path}/raw/x.csv")
+    assert files.land_csv(spark, f"{tmp_path}/raw", f"{tmp_path}/landed") == ["tags.csv", "x.csv"]
+    back = files.read_csv(spark, f"{tmp_path}/landed/tags.csv", "id long, tag string", multi_line=True)
+    assert sorted(map(tuple, back.collect())) == [(i, f"line\n{i}") for i in range(1000)]
+    files.write_csv(df, f"{tmp_path}/raw/other/x.csv")
+    with pytest.raises(ValueError, match="x.csv"):
+        files.land_csv(spark, f"{tmp_path}/raw", f"{tmp_path}/landed")
+
+
 def test_malformed_tag_id(spark, tmp_path):
     path = write(tmp_path / "tags.csv", "userId,movieId,tag,timestamp\nabc,17,x,944249077\n")
     raw = files.read_csv(spark, path, files.TAGS_SCHEMA)
@@ -173,3 +237,52 @@ def test_scratch_follows_the_cluster_setting(spark):
         session.stored(spark.range(3), "y")
     assert not list(Path(own).glob("scope-*"))
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_clustered_write_computes_its_input_once(spark, tmp_path, monkeypatch):
+    """The source is read for the store only; the sampling of ranges and the write read what is stored."""
+    path = write(tmp_path / "r.csv", "k,v\n" + "".join(f"{i},{i % 7}\n" for i in range(5000)))
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    rows = files.read_csv(spark, path, "k int, v int").mapInArrow(counted, "k int, v int")
+    monkeypatch.setattr(tables, "MAX_ROWS_PER_FILE", 400)
+    stored = tables.overwrite_table(rows, "t_once.x", cluster_by=("v", "k"))
+    assert calls.value == 5000 and stored.count() == 5000
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 400
+
+
+class StepClock(lookup.Clock):
+    def __init__(self):
+        self.time = 0.0
+
+    def now(self):
+        return self.time
+
+    def sleep(self, seconds):
+        self.time += seconds
+
+
+def test_the_schedule_of_calls(spark):
+    keys = spark.range(1, 101).select(F.col("id").cast("int").alias("movieId"), F.col("id").cast("int").alias("tmdbId"))
+
+    def slow(clock):
+        def client(key):
+            clock.sleep(0.5 if key % 10 == 0 else 0.0)
+            if key % 3 == 0:
+                raise OSError
+            return "{}"
+
+        return client
+
+    calls = lookup.fetch_calls(keys, slow, clients=3, min_interval_s=0.25, clock_factory=StepClock).toPandas()
+    assert len(calls) == 100 and calls.client.nunique() == 3 and calls.payload.notna().sum() == 67
+    for _, own in calls.groupby("client"):
+        own = own.sort_values("called_at", kind="stable")
+        gaps = own.called_at.diff().dropna().tolist()
+        assert gaps == [0.5 if key % 10 == 0 else 0.25 for key in own.tmdbId.tolist()[:-1]]
