@@ -6,14 +6,15 @@ Two documents link when ``100 * intersection >= 80 * union`` over their distinct
    has a sketch: the least values of its shingles under ``COORDINATES`` hash functions. Two sets of Jaccard similarity
    s agree in a coordinate with probability s.
 2. *Trees.* Each of ``TREES`` independent trees starts with the coordinates of its own that it has drawn; a set goes to
-   the child named by (coordinate, its least shingle there), ``BRANCHES`` children for each set. A node whose sets
-   number more than ``NODE_SETS`` branches again by coordinates drawn for that node, up to ``DEPTH`` levels.
-3. *Small nodes* are compared exhaustively: first by sketches (a pair below ``LEAST_AGREEING`` agreeing coordinates, five
-   standard deviations under a link, is left out), then by whole sets, which are shipped to the nodes of the sets that
-   passed. Every link is confirmed on the whole sets. Pairs inside one class known so far are skipped.
-4. *Large nodes* are dealt out in random parts, each with the node's least set as its hub, and the parts compared as
-   small nodes are. Groups of near copies become one class there; a node whose sets are all of one class is done. Only
-   the others branch. Nodes still large after ``DEPTH`` levels are compared in full, each part with each part.
+   the child named by (coordinate, its least shingle there), ``BRANCHES`` children for each set. A node of more than
+   ``WHOLE_PARTS`` parts of ``NODE_SETS`` sets branches again by coordinates drawn for that node, up to ``DEPTH`` levels.
+3. *Small nodes* are compared exhaustively, each part with each part: first by sketches (a pair below ``LEAST_AGREEING``
+   agreeing coordinates, five standard deviations under a link, is left out), then by whole sets, which are shipped to
+   the nodes of the sets that passed. Every link is confirmed on the whole sets. Pairs inside one class known so far
+   are skipped.
+4. *Large nodes* are dealt out in random parts, each with the node's least set as its hub, and only the parts compared.
+   Groups of near copies become one class there; a node whose sets are all of one class is done. Only the others
+   branch. Nodes still large after ``DEPTH`` levels are compared in full.
 5. The first tree runs alone; its classes spare the others nearly all comparisons.
 
 Recall. A linked pair survives one level of a tree with probability at least ``1 - (1 - 0.8)**2`` = 0.96 and any depth
@@ -28,6 +29,7 @@ has no id at all. Other columns are not read. An empty table gives an empty tabl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,9 @@ TREES = 6
 BRANCHES = 2
 COORDINATES = 64
 LEAST_AGREEING = 35
-DEPTH = 4
-NODE_SETS = 250
+DEPTH = 3
+NODE_SETS = 1_000
+WHOLE_PARTS = 8
 NODE_SHINGLES = 2_000_000
 SEED = 0x1F83D9ABFB41BD6B
 
@@ -254,15 +257,11 @@ class Join:
         self.signed = stored(source.mapInArrow(_signatures, schema), "signatures")
         sets = self.signed.where("cls is not null").select("cls", F.col("n_shingles").alias("n"), "sketch")
         self.sketches = stored(sets.distinct(), "sketches")
-        empty = self.sketches.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0)
-        self.links = empty
-        self.classes = empty.select(F.col("a").alias("cls"), F.col("b").alias("class"))
+        self.links: list[DataFrame] = []
+        self.known = 0  # links that the classes come from
+        self.members = self.sketches.withColumn("class", F.col("cls"))
         self.sets: DataFrame | None = None
 
-    def classed(self, rows: DataFrame) -> DataFrame:
-        joined = rows.join(self.classes, "cls", "left")
-        return joined.withColumn("class", F.coalesce("class", "cls"))
-
     def shipped(self, wanted: DataFrame) -> DataFrame:
         """``(cls, shingles)`` of all sets that any node asks for, made once: later nodes ask for a part of these."""
         if self.sets is None:
@@ -274,36 +273,37 @@ class Join:
             self.sets = stored(texts.mapInArrow(_wanted_sets, "cls binary, shingles binary"), "sets")
         return self.sets
 
-    def add(self, links: DataFrame) -> None:
-        links = stored(links.distinct(), "links")
-        if links.isEmpty():
-            return
-        self.links = self.links.union(links)
-        found = components(self.links)
-        self.classes = stored(found.select(F.col("node").alias("cls"), F.col("root").alias("class")), "classes")
+    def contract(self) -> None:
+        """Bring the classes up to date with the links found since."""
+        if len(self.links) > self.known:
+            self.known = len(self.links)
+            found = components(reduce(DataFrame.union, self.links)).select(F.col("node").alias("cls"), F.col("root").alias("class"))
+            joined = self.sketches.join(found, "cls", "left")
+            self.members = stored(joined.withColumn("class", F.coalesce("class", "cls")), "members")
 
     def compare(self, placed: DataFrame) -> None:
         """Compare the sets of each block of ``(block, cls)`` that are not of one class, and add the links."""
-        asked = self.classed(placed.distinct()).join(self.sketches, "cls").select("block", "cls", "class", "n", "sketch")
+        asked = placed.join(self.members, "cls").select("block", "cls", "class", "n", "sketch")
         wanted = stored(_sorted_map(asked, _filter, "block bigint, cls binary, class binary"), "wanted")
         whole = wanted.join(self.shipped(wanted), "cls").select("block", "cls", "class", "shingles")
-        self.add(_sorted_map(whole, _compare, "a binary, b binary"))
+        links = stored(_sorted_map(whole, _compare, "a binary, b binary"), "links")
+        if not links.isEmpty():
+            self.links.append(links)
 
     def mixed(self, rows: DataFrame) -> DataFrame:
-        """``(node, n, parts, hub)`` of the nodes of ``(node, cls)`` that hold sets of several classes."""
-        sized = self.classed(rows).join(self.sketches.select("cls", "n"), "cls")
-        nodes = sized.groupBy("node").agg(
+        """``(node, parts, hub)`` of the nodes of ``(node, cls)`` that hold sets of several classes, stored."""
+        nodes = rows.join(self.members.select("cls", "class", "n"), "cls").groupBy("node").agg(
             F.count("*").alias("sets"), F.sum("n").alias("total"), F.min("cls").alias("hub"),
             F.min("class").alias("c0"), F.max("class").alias("c1"),
         )
         parts = F.greatest(F.ceil(F.col("sets") / NODE_SETS), F.ceil(F.col("total") / NODE_SHINGLES)).cast("int")
-        return nodes.where("c0 <> c1").select("node", parts.alias("parts"), "hub")
+        return stored(nodes.where("c0 <> c1").select("node", parts.alias("parts"), "hub"), "mixed")
 
     def dealt(self, rows: DataFrame, nodes: DataFrame, salt: int) -> DataFrame:
-        """``(block, cls)``: the sets of each node in its parts, with the hub in each of several parts."""
+        """``(block, cls)``: the sets of each node in its parts, with the hub in each part."""
         part = F.pmod(F.xxhash64("cls", F.lit(salt)), F.col("parts")).cast("int")
         own = rows.join(nodes, "node").select("node", part.alias("part"), "cls")
-        hubs = nodes.where("parts > 1").select("node", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("hub").alias("cls"))
+        hubs = nodes.select("node", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("hub").alias("cls"))
         return own.union(hubs).select(F.xxhash64("node", "part").alias("block"), "cls")
 
     def every_part(self, rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -322,21 +322,20 @@ class Join:
     def run_trees(self, trees: range) -> None:
         roots = self.sketches.select(F.explode(F.array(*[F.lit(t).cast("bigint") for t in trees])).alias("node"), "cls")
         rows = self.branched(roots)
-        for level in range(DEPTH):
-            nodes = stored(self.mixed(rows), "mixed")
+        for level in range(DEPTH + 1):
+            nodes = self.mixed(rows)
             if nodes.isEmpty():
                 return
-            self.compare(self.dealt(rows, nodes, level))
-            large = nodes.where("parts > 1")
-            if large.isEmpty():
+            last = level == DEPTH
+            small, large = nodes.where(F.col("parts") <= WHOLE_PARTS), nodes.where(F.col("parts") > WHOLE_PARTS)
+            done = last or large.isEmpty()
+            placed = self.every_part(rows, nodes if last else small)
+            self.compare(placed if done else placed.union(self.dealt(rows, large, level)))
+            self.contract()
+            if done:
                 return
             rows = stored(rows.join(large.select("node"), "node", "left_semi"), "large")
-            nodes = stored(self.mixed(rows), "mixed")
-            rows = rows.join(nodes.select("node"), "node", "left_semi")
-            if level + 1 < DEPTH:
-                rows = self.branched(rows)
-        if not nodes.isEmpty():
-            self.compare(self.every_part(rows, nodes))
+            rows = self.branched(rows.join(self.mixed(rows).select("node"), "node", "left_semi"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -346,8 +345,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     join.run_trees(range(1))
     join.run_trees(range(1, TREES))
     rows = join.signed.select("doc_id", "n_shingles", "cls")
-    rows = rows.join(join.classes, "cls", "left").withColumn("class", F.coalesce("class", "cls"))
-    rows = stored(rows.drop("cls"), "classed")
+    rows = stored(rows.join(join.members.select("cls", "class"), "cls", "left").drop("cls"), "classed")
     least = rows.where("class is not null").groupBy(F.col("class").alias("c")).agg(F.min("doc_id").alias("least"))
     out = rows.join(least, F.col("class") == F.col("c"), "left")
     root = F.coalesce("least", "doc_id")

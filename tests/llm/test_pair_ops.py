@@ -47,13 +47,14 @@ def corpus():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("limits", [None, (5, 2, 2000)])
+@pytest.mark.parametrize("limits", [None, (5, 2, 2000, 1)])
 def test_chosen_paths_equal_brute_force(spark, corpus, monkeypatch, limits):
     """Nodes of few sets: parts with hubs, branching, and each part with each part where the depth ends."""
     if limits:
         monkeypatch.setattr(chosen_path, "NODE_SETS", limits[0])
         monkeypatch.setattr(chosen_path, "DEPTH", limits[1])
         monkeypatch.setattr(chosen_path, "NODE_SHINGLES", limits[2])
+        monkeypatch.setattr(chosen_path, "WHOLE_PARTS", limits[3])
     found = chosen_path.near_duplicates(frame(spark, corpus)).collect()
     sets = [R.shingle_set(text, 4) for _, text in corpus]
     label = R.classes(sets)
