@@ -48,21 +48,28 @@ SPAN = 400
 GRAM = 128
 BUCKET = 500
 ROUNDS = 6
-PIECE = 1 << 20
+PIECE = 1 << 18  # bytes whose anchors are found at once; a dozen arrays of eight times that are held then
 PLACE_BITS = 21
 SORT_SUFFIXES = 100_000  # suffixes sorted at once in a task
 
 _FACTOR = 0x9E3779B97F4A7C15
-_UP = np.cumprod(np.append(np.uint64(1), np.full(2 * PIECE, _FACTOR, dtype=np.uint64)), dtype=np.uint64)
-_DOWN = np.cumprod(np.append(np.uint64(1), np.full(2 * PIECE, pow(_FACTOR, -1, 1 << 64), dtype=np.uint64)), dtype=np.uint64)
+
+
+def _factors(n: int, factor: int) -> np.ndarray:
+    powers = np.full(n, factor, dtype=np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
 _BYTE = T.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
 
 
 def gram_hashes(data: np.ndarray, gram: int, round_: int = 0) -> np.ndarray:
     """A cheap hash of each ``gram`` bytes; it only chooses anchors, so a collision costs time and nothing else."""
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * _UP[: len(data)], out=sums[1:])
-    return T.mix((sums[gram:] - sums[:-gram]) * _DOWN[: len(data) - gram + 1] + np.uint64(round_ * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
+    np.cumsum(_BYTE[data] * _factors(len(data), _FACTOR), out=sums[1:])
+    down = _factors(len(data) - gram + 1, pow(_FACTOR, -1, 1 << 64))
+    return T.mix((sums[gram:] - sums[:-gram]) * down + np.uint64(round_ * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
 
 
 def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
@@ -119,7 +126,7 @@ def _anchors(span: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows ``(key, mark, text)``."""
         for batch in batches:
-            for low, high, data, bounds in T.slices(batch.column(2)):
+            for low, high, data, bounds in T.slices(batch.column(2), PIECE):
                 owner, first, last, anchor, grams = stretches(data, bounds, span, gram)
                 kinds = kinds_of(data, bounds[owner] + first, bounds[owner] + last + span, anchor - first)
                 rows = pa.array(owner)
@@ -317,7 +324,7 @@ def _split(span: int, gram: int, round_: int):
             new = [k != before for k, before in zip(keys, [last, *keys[:-1]])]  # repeated rows gave it twice
             last = keys[-1] if keys else last
             batch = batch.filter(pa.array(new, pa.bool_()))
-            for begin, end, data, bounds in T.slices(batch.column(9)):
+            for begin, end, data, bounds in T.slices(batch.column(9), PIECE):
                 owner, first, high, _, grams = stretches(data, bounds, span, gram, round_)
                 old = {name: batch.column(i).slice(begin, end - begin) for i, name in enumerate(_NAMES)}
                 low = old["low"].to_numpy()[owner]
@@ -339,7 +346,7 @@ def _strings(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """``_STRETCHES`` rows: ``(bucket, kind, check, copies, doc_id, mark, low, high)`` of each string in them."""
         for batch in batches:
-            for begin, end, data, bounds in T.slices(batch.column(9)):
+            for begin, end, data, bounds in T.slices(batch.column(9), PIECE):
                 old = {name: batch.column(i).slice(begin, end - begin) for i, name in enumerate(_NAMES)}
                 low, high, anchor = (old[c].to_numpy() for c in ("low", "high", "anchor"))
                 sizes = high - low + 1
@@ -460,7 +467,7 @@ def _own(spans: list[dict] | None) -> list[tuple[int, int]]:
 def _sort_out(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, row, mark, text, wanted, spans)``: done with if no stretch of the text is to be sorted."""
     for batch in batches:
-        for low, high, data, bounds in T.slices(batch.column(3)):
+        for low, high, data, bounds in T.slices(batch.column(3), PIECE):
             old = [batch.column(i).slice(low, high - low) for i in range(6)]
             rows = []
             for i, (asked, spans) in enumerate(zip(old[4].to_pylist(), old[5].to_pylist())):

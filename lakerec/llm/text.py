@@ -65,11 +65,15 @@ _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64
 def powers(n: int, which: str = "up") -> np.ndarray:
     """The first ``n`` powers of the base (``up``) or of its inverse (``down``), kept between calls."""
     held = _powers[which]
-    step = pow(int(BASE if which == "up" else INVERSE), len(held), int(PRIME))
-    while len(held) < max(n, SLICE_BYTES):
-        held = np.concatenate([held, mul_mod(held, np.array([step], dtype=np.uint64))])
-        step = step * step % int(PRIME)
-    _powers[which] = held
+    if len(held) < n:
+        size = max(n, SLICE_BYTES + 2)
+        grown = np.ones(size, dtype=np.uint64)
+        known, step = 1, int(BASE if which == "up" else INVERSE)
+        while known < size:
+            more = min(known, size - known)
+            grown[known : known + more] = mul_mod(grown[:more], np.array([step], dtype=np.uint64))
+            known, step = known + more, step * step % int(PRIME)
+        _powers[which] = held = grown
     return held[:n]
 
 
