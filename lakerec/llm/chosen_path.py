@@ -70,16 +70,18 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, high, data, bounds in T.slices(batch.column(1)):
             sets = T.shingles(data, bounds, WIDTH)
             full = [s for s in sets if len(s)]
-            rows = iter(sketches(full)) if full else iter(())
+            whole = sketches(full) if full else np.zeros((0, COORDINATES), dtype=np.uint32)
+            rows, short = iter(whole), iter(whole.astype(np.uint8))  # a byte of each value is enough to compare
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
                     pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([next(short).tobytes() if len(s) else None for s in sets], pa.binary()),
                     batch.column(2).slice(low, high - low),
                 ],
-                names=["doc_id", "cls", "n_shingles", "sketch", "mark"],
+                names=["doc_id", "cls", "n_shingles", "sketch", "short", "mark"],
             )
 
 
@@ -108,7 +110,7 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         nodes = batch.column(0).to_numpy().view(np.uint64)
-        sketch = _matrix(batch.column(2))
+        sketch = _matrix(batch.column(2), np.uint32)
         roots = nodes < TREES
         at = np.arange(BRANCHES)[None, :] + BRANCHES * (nodes[:, None] % np.uint64(TREES)).astype(np.int64)
         chosen = np.where(roots[:, None], at, drawn(nodes))
@@ -119,9 +121,9 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array, kind: type) -> np.ndarray:
     data, bounds = T.as_bytes(column)
-    return data[bounds[0] : bounds[-1]].view(np.uint32).reshape(-1, COORDINATES)
+    return data[bounds[0] : bounds[-1]].view(kind).reshape(-1, COORDINATES)
 
 
 def alike_pairs(sketch: np.ndarray, block: np.ndarray, group: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -172,9 +174,9 @@ def _numbers(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(block, cls, class, n, sketch)`` sorted by block: ``(block, cls)`` of the sets to be compared."""
+    """Rows ``(block, cls, class, n, short)`` sorted by block: ``(block, cls)`` of the sets to be compared."""
     for table in _lots(batches):
-        sketch = _matrix(table["sketch"].combine_chunks())
+        sketch = _matrix(table["short"].combine_chunks(), np.uint8)
         block = table["block"].to_numpy()
         hit = alike_pairs(sketch, block, _numbers(table["class"]), table["n"].to_numpy())
         found = table.select(["block", "cls", "class"]).filter(pa.array(hit))
@@ -253,39 +255,40 @@ class Join:
         # The text's mark tells apart texts under one id, or under none.
         source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
         self.source = source
-        schema = "doc_id bigint, cls binary, n_shingles bigint, sketch binary, mark bigint"
+        schema = "doc_id bigint, cls binary, n_shingles bigint, sketch binary, short binary, mark bigint"
         self.signed = stored(source.mapInArrow(_signatures, schema), "signatures")
-        sets = self.signed.where("cls is not null").select("cls", F.col("n_shingles").alias("n"), "sketch")
+        sets = self.signed.where("cls is not null").select("cls", F.col("n_shingles").alias("n"), "sketch", "short")
         self.sketches = stored(sets.distinct(), "sketches")
         self.links: list[DataFrame] = []
         self.known = 0  # links that the classes come from
-        self.members = self.sketches.withColumn("class", F.col("cls"))
+        self.members = self.sketches.select("cls", "n", "short", F.col("cls").alias("class"))
         self.sets: DataFrame | None = None
 
-    def shipped(self, wanted: DataFrame) -> DataFrame:
-        """``(cls, shingles)`` of all sets that any node asks for, made once: later nodes ask for a part of these."""
-        if self.sets is None:
-            asked = wanted.select("cls").distinct()
-            one = self.signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
-            one = asked.join(one, "cls").select("cls", F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark"))
-            same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
-            texts = one.join(self.source, same).select("cls", "text").dropDuplicates(["cls"])
-            self.sets = stored(texts.mapInArrow(_wanted_sets, "cls binary, shingles binary"), "sets")
-        return self.sets
+    def ship(self, asked: DataFrame) -> None:
+        """Store the whole sets ``(cls, shingles)`` of all that may have a link, ``asked (cls)``, once for all nodes."""
+        one = self.signed.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
+        one = asked.distinct().join(one, "cls").select("cls", F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark"))
+        same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
+        # Stored, so that the planner knows whether it is small enough to be brought to the texts.
+        texts = stored(one, "asked").join(self.source, same).select("cls", "text").dropDuplicates(["cls"])
+        self.sets = stored(texts.mapInArrow(_wanted_sets, "cls binary, shingles binary"), "sets")
+
+    def passing(self, placed: DataFrame) -> DataFrame:
+        """``(block, cls, class)`` of the sets of ``(block, cls)`` that may link with one of another class in their block."""
+        asked = placed.join(self.members, "cls").select("block", "cls", "class", "n", "short")
+        return _sorted_map(asked, _filter, "block bigint, cls binary, class binary")
 
     def contract(self) -> None:
         """Bring the classes up to date with the links found since."""
         if len(self.links) > self.known:
             self.known = len(self.links)
             found = components(reduce(DataFrame.union, self.links)).select(F.col("node").alias("cls"), F.col("root").alias("class"))
-            joined = self.sketches.join(found, "cls", "left")
+            joined = self.sketches.select("cls", "n", "short").join(found, "cls", "left")
             self.members = stored(joined.withColumn("class", F.coalesce("class", "cls")), "members")
 
     def compare(self, placed: DataFrame) -> None:
         """Compare the sets of each block of ``(block, cls)`` that are not of one class, and add the links."""
-        asked = placed.join(self.members, "cls").select("block", "cls", "class", "n", "sketch")
-        wanted = stored(_sorted_map(asked, _filter, "block bigint, cls binary, class binary"), "wanted")
-        whole = wanted.join(self.shipped(wanted), "cls").select("block", "cls", "class", "shingles")
+        whole = self.passing(placed).join(self.sets, "cls").select("block", "cls", "class", "shingles")
         links = stored(_sorted_map(whole, _compare, "a binary, b binary"), "links")
         if not links.isEmpty():
             self.links.append(links)
@@ -319,9 +322,20 @@ class Join:
         held = rows.join(self.sketches.select("cls", "sketch"), "cls").select("node", "cls", "sketch")
         return stored(held.mapInArrow(_branch, "node bigint, cls binary"), "nodes")
 
+    def roots(self, trees: range) -> DataFrame:
+        """Rows ``(node, cls)`` of the first level of some trees."""
+        tree = F.explode(F.array(*[F.lit(t).cast("bigint") for t in trees])).alias("node")
+        return stored(self.sketches.select(tree, "cls", "sketch").mapInArrow(_branch, "node bigint, cls binary"), "nodes")
+
+    def candidates(self) -> DataFrame:
+        """``(cls)`` of the sets that may have a link: a partner by sketch in a small node, or a place in a large one."""
+        rows = self.roots(range(TREES))
+        nodes = self.mixed(rows)
+        found = self.passing(self.every_part(rows, nodes.where(F.col("parts") <= WHOLE_PARTS))).select("cls")
+        return found.union(rows.join(nodes.where(F.col("parts") > WHOLE_PARTS).select("node"), "node", "left_semi").select("cls"))
+
     def run_trees(self, trees: range) -> None:
-        roots = self.sketches.select(F.explode(F.array(*[F.lit(t).cast("bigint") for t in trees])).alias("node"), "cls")
-        rows = self.branched(roots)
+        rows = self.roots(trees)
         for level in range(DEPTH + 1):
             nodes = self.mixed(rows)
             if nodes.isEmpty():
@@ -341,7 +355,7 @@ class Join:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs (doc_id, text)``."""
     join = Join(docs)
-    join.shipped(join_candidates(join))
+    join.ship(join.candidates())
     join.run_trees(range(1))
     join.run_trees(range(1, TREES))
     rows = join.signed.select("doc_id", "n_shingles", "cls")
@@ -350,11 +364,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = rows.join(least, F.col("class") == F.col("c"), "left")
     root = F.coalesce("least", "doc_id")
     return out.select("doc_id", "n_shingles", root.alias("component_id"), F.col("doc_id").eqNullSafe(root).alias("kept"))
-
-
-def join_candidates(join: Join) -> DataFrame:
-    """``(cls)`` of the sets that share a node of any tree's first level with another: no other set is ever compared."""
-    roots = join.sketches.select(F.explode(F.array(*[F.lit(t).cast("bigint") for t in range(TREES)])).alias("node"), "cls")
-    rows = join.branched(roots)
-    shared = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    return rows.join(shared, "node", "left_semi").select("cls")
