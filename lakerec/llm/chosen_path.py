@@ -15,7 +15,8 @@ Two documents link when ``100 * intersection >= 80 * union`` over their distinct
 4. *Large nodes* are dealt out in random parts, each with the node's least set as its hub, and only the parts compared.
    Groups of near copies become one class there; a node whose sets are all of one class is done. Only the others
    branch. Nodes still large after ``DEPTH`` levels are compared in full.
-5. The first tree runs alone; its classes spare the others nearly all comparisons.
+5. The first tree runs alone; its classes spare the others nearly all comparisons. If all its nodes were small, pairs
+   that met in it are not compared again.
 
 Recall. A linked pair survives one level of a tree with probability at least ``1 - (1 - 0.8)**2`` = 0.96 and any depth
 with at least 0.937, so ``TREES`` = 6 trees miss it with a probability of at most 6e-8 and the sketch filter with 5e-7.
@@ -71,7 +72,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = T.shingles(data, bounds, WIDTH)
             full = [s for s in sets if len(s)]
             whole = sketches(full) if full else np.zeros((0, COORDINATES), dtype=np.uint32)
-            rows, short = iter(whole), iter(whole.astype(np.uint8))  # a byte of each value is enough to compare
+            # A byte of each value is enough to compare; the first tree's values are kept whole.
+            met = np.ascontiguousarray(whole[:, :BRANCHES]).view(np.uint8)
+            rows, short = iter(whole), iter(np.hstack([whole.astype(np.uint8), met]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
@@ -121,13 +124,18 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _matrix(column: pa.Array, kind: type) -> np.ndarray:
+def _matrix(column: pa.Array, kind: type, width: int = COORDINATES) -> np.ndarray:
     data, bounds = T.as_bytes(column)
-    return data[bounds[0] : bounds[-1]].view(kind).reshape(-1, COORDINATES)
+    return data[bounds[0] : bounds[-1]].view(kind).reshape(-1, width)
 
 
-def alike_pairs(sketch: np.ndarray, block: np.ndarray, group: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Which rows (sorted by ``block``) have a partner in their block, of another ``group``, that may link with them."""
+def alike_pairs(
+    sketch: np.ndarray, block: np.ndarray, group: np.ndarray, sizes: np.ndarray, met: np.ndarray | None = None
+) -> np.ndarray:
+    """Which rows (sorted by ``block``) have a partner in their block, of another ``group``, that may link with them.
+
+    Pairs that agree in a column of ``met`` have been compared before.
+    """
     hit = np.zeros(len(block), dtype=bool)
     rows = np.arange(len(block))
     distance = 0
@@ -143,6 +151,8 @@ def alike_pairs(sketch: np.ndarray, block: np.ndarray, group: np.ndarray, sizes:
             part = slice(at, at + 50_000)
             x, y = a[part][other[part]], b[part][other[part]]
             near = (sketch[x] == sketch[y]).sum(axis=1) >= LEAST_AGREEING
+            if met is not None:
+                near &= (met[x] != met[y]).all(axis=1)
             hit[x[near]] = True
             hit[y[near]] = True
 
@@ -173,14 +183,17 @@ def _numbers(column: pa.ChunkedArray) -> np.ndarray:
     return column.combine_chunks().dictionary_encode().indices.to_numpy()
 
 
-def _filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(block, cls, class, n, short)`` sorted by block: ``(block, cls)`` of the sets to be compared."""
-    for table in _lots(batches):
-        sketch = _matrix(table["short"].combine_chunks(), np.uint8)
-        block = table["block"].to_numpy()
-        hit = alike_pairs(sketch, block, _numbers(table["class"]), table["n"].to_numpy())
-        found = table.select(["block", "cls", "class"]).filter(pa.array(hit))
-        yield from found.to_batches()
+def _filter(first_done: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``(block, cls, class, n, short)`` sorted by block: ``(block, cls, class)`` of the sets to be compared."""
+        for table in _lots(batches):
+            both = _matrix(table["short"].combine_chunks(), np.uint8, COORDINATES + 4 * BRANCHES)
+            met = np.ascontiguousarray(both[:, COORDINATES:]).view(np.uint32) if first_done else None
+            sketch = np.ascontiguousarray(both[:, :COORDINATES])
+            hit = alike_pairs(sketch, table["block"].to_numpy(), _numbers(table["class"]), table["n"].to_numpy(), met)
+            yield from table.select(["block", "cls", "class"]).filter(pa.array(hit)).to_batches()
+
+    return run
 
 
 def exhaustive(sets: list[np.ndarray], start: np.ndarray) -> np.ndarray:
@@ -263,6 +276,7 @@ class Join:
         self.known = 0  # links that the classes come from
         self.members = self.sketches.select("cls", "n", "short", F.col("cls").alias("class"))
         self.sets: DataFrame | None = None
+        self.first_done = False  # all pairs that meet in the first tree's first level have been compared
 
     def ship(self, asked: DataFrame) -> None:
         """Store the whole sets ``(cls, shingles)`` of all that may have a link, ``asked (cls)``, once for all nodes."""
@@ -276,7 +290,7 @@ class Join:
     def passing(self, placed: DataFrame) -> DataFrame:
         """``(block, cls, class)`` of the sets of ``(block, cls)`` that may link with one of another class in their block."""
         asked = placed.join(self.members, "cls").select("block", "cls", "class", "n", "short")
-        return _sorted_map(asked, _filter, "block bigint, cls binary, class binary")
+        return _sorted_map(asked, _filter(self.first_done), "block bigint, cls binary, class binary")
 
     def contract(self) -> None:
         """Bring the classes up to date with the links found since."""
@@ -343,9 +357,11 @@ class Join:
             last = level == DEPTH
             small, large = nodes.where(F.col("parts") <= WHOLE_PARTS), nodes.where(F.col("parts") > WHOLE_PARTS)
             done = last or large.isEmpty()
+            whole = done and level == 0
             placed = self.every_part(rows, nodes if last else small)
             self.compare(placed if done else placed.union(self.dealt(rows, large, level)))
             self.contract()
+            self.first_done |= whole and trees[0] == 0
             if done:
                 return
             rows = stored(rows.join(large.select("node"), "node", "left_semi"), "large")
