@@ -80,9 +80,10 @@ class Encoder:
         special: bytes | None,
         special_id: int,
         kept: int | None = None,
+        slice_bytes: int = T.SLICE_BYTES,
     ):
         self.encode, self.special, self.special_id = encode, special, special_id
-        self.kept = kept or KEPT
+        self.kept, self.slice_bytes = kept or KEPT, slice_bytes
         self._clear()
 
     def _clear(self) -> None:
@@ -136,5 +137,5 @@ class Encoder:
 
     def column_ids(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, end row, ids, bounds) of runs of rows of a text column; a null counts as empty."""
-        for low, high, data, bounds in T.slices(column):
+        for low, high, data, bounds in T.slices(column, self.slice_bytes):
             yield low, high, *self.slice_ids(data, bounds)

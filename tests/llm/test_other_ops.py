@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import reference as R
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakerec.llm import ann, bpe, chat, mixing, queries, records, warc
+from lakerec.llm import ann, bpe, chat, chunks, mixing, queries, records, warc
 from lakerec.session import new_scratch, stored
 
 SF = "/root/testdata/sf0.001"
@@ -435,3 +436,20 @@ def test_stages_take_nulls_repeats_and_nothing(spark):
             if name != "BPE encoding and decoding":
                 assert out.columns == docs.columns
             out.collect()
+
+
+def test_chunks_are_looked_up_once_for_several_megabytes():
+    asked = []
+
+    def encode(words):
+        asked.append(len(words))
+        lengths = np.array([len(w) for w in words])
+        return np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int32), np.cumsum(lengths) - lengths, lengths
+
+    texts = [" ".join(f"w{(i * j) % 5003}" for j in range(4000)) for i in range(1, 130)]  # 3 MB
+    encoder = chunks.Encoder(encode, None, -1, slice_bytes=records.SLICE_BYTES)
+    runs = list(encoder.column_ids(pa.array(texts)))
+    assert len(runs) == len(asked) == 1
+    (low, high, ids, bounds), data = runs[0], "".join(texts).encode()
+    assert (low, high) == (0, len(texts)) and ids.astype(np.uint8).tobytes() == data
+    assert bounds.tolist() == np.cumsum([0, *map(len, texts)]).tolist()
