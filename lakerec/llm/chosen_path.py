@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
 from lakerec.llm.components import components
+from lakerec.llm.narrow import meeting
 from lakerec.llm.ngram_join import digest
 from lakerec.session import stored
 
@@ -284,7 +285,9 @@ class Join:
         one = asked.distinct().join(one, "cls").select("cls", F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark"))
         same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
         # Stored, so that the planner knows whether it is small enough to be brought to the texts.
-        texts = stored(one, "asked").join(self.source, same).select("cls", "text").dropDuplicates(["cls"])
+        one = stored(one, "asked")
+        source = meeting(self.source, [F.col("doc_id"), F.col("mark")], one, [F.col("id"), F.col("text_mark")])
+        texts = one.join(source, same).select("cls", "text").dropDuplicates(["cls"])
         self.sets = stored(texts.mapInArrow(_wanted_sets, "cls binary, shingles binary"), "sets")
 
     def passing(self, placed: DataFrame) -> DataFrame:
