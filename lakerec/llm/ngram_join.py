@@ -7,7 +7,7 @@ Two documents link when ``100 * intersection >= 80 * union`` over their distinct
    ``l = max(1, n // 20)``. Linked sets share at least the l of the smaller among their probes, so a set that shares
    fewer has no link. Probes that several sets of one slice of texts hold are counted there, and only two of the sets
    announce them to the others, so a probe that every document holds costs two rows per slice.
-3. *Global order.* Only candidate sets are shipped whole. Their shingles are counted: blocks of sets send each distinct
+3. *Global order.* Only candidate sets are shipped whole; other texts are left out before the shuffle (``narrow``). Their shingles are counted: blocks of sets send each distinct
    shingle once, packed, to the task of its hash range, and get back those that several sets hold. Each set is ordered
    by count, the rarest first, then hash. Its first ``n - ceil(0.8 n) + 1`` are its prefix; linked sets share one.
    A set with that many shingles of its own is linked with nothing, and most others share passages only far down.
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
 from lakerec.llm.components import components
+from lakerec.llm.narrow import meeting
 from lakerec.session import stored
 
 WIDTH = 5
@@ -215,8 +216,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def whole_sets(docs: DataFrame, chosen: DataFrame, *key: str) -> DataFrame:
-    """``_SETS`` of the candidates, to be stored. Repeated rows of a document give its set more than once."""
+    """``_SETS`` of the stored candidates, to be stored. Repeated rows of a document give its set more than once."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *key)
+    source = meeting(source, [F.col(c) for c in ("doc_id", *key)], chosen, [F.col(c) for c in ("doc_id", *key)])
     named = chosen.select("cls", F.col("doc_id").alias("id"), *[F.col(c).alias(f"own_{c}") for c in key])
     same = F.col("id").eqNullSafe(F.col("doc_id"))
     for c in key:

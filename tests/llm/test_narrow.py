@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakerec.llm import chosen_path, narrow
+from lakerec.llm import chosen_path, narrow, ngram_join
 from lakerec.session import stored
 
 
@@ -37,6 +37,10 @@ def test_only_texts_that_may_be_wanted_are_shuffled(spark, conf, plan, monkeypat
         plans[label] = plan(df)
         return stored(df, label)
 
-    monkeypatch.setattr(chosen_path, "stored", noted)
+    for module in (ngram_join, chosen_path):
+        monkeypatch.setattr(module, "stored", noted)
+    ngram_join.jaccard_classes(docs).collect()
+    assert not shuffled_texts(plans["sets"])
+    plans.clear()
     chosen_path.near_duplicates(docs).collect()
     assert not shuffled_texts(plans["sets"])
