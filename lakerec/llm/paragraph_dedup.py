@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
+from lakerec.llm.narrow import marked, meeting
 from lakerec.llm.ngram_join import DIGEST_SALTS, WIDTH, set_classes
 from lakerec.session import stored
 
@@ -162,6 +163,8 @@ def classes(docs: DataFrame, bands: int | None = None, rows: int = ROWS) -> Data
     wanted = colliding.groupBy(F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark")).agg(
         F.collect_list(F.struct("one.line", "cls")).alias("wanted")  # lines of one text
     )
+    wanted = stored(wanted, "wanted-lines")
+    source = meeting(source, [F.col("doc_id"), F.col("mark")], wanted, [F.col("id"), F.col("text_mark")])
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
     sets = wanted.join(source, same).select("text", "wanted")
     sets = sets.mapInArrow(_whole_sets(bands, rows), "cls binary, n bigint, shingles binary, prefix array<bigint>")
@@ -209,11 +212,14 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed(docs: DataFrame) -> DataFrame:
     """``docs`` with ``NEW`` in the place of the text: paragraphs, those removed, the documents that keep them, the rest."""
     gone = removals(classes(docs)).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__text"))
-    gone = gone.agg(F.collect_list(F.struct("line", "kept_doc")).alias("__gone"))
+    gone = stored(gone.agg(F.collect_list(F.struct("line", "kept_doc")).alias("__gone")), "gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     source = docs.select(F.col("doc_id").cast("bigint").alias("__key"), F.xxhash64("text").alias("__mark"), row.alias("row"), "text")
     same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__text"))
-    joined = source.join(gone, same, "left").select("row", "text", "__gone")
+    # Texts that lose nothing stay where they are.
+    source = marked(source, [F.col("__key"), F.col("__mark")], gone, [F.col("__id"), F.col("__text")], "__met")
+    whole = source.where("not __met").select("row", "text", F.lit(None).cast(gone.schema["__gone"].dataType).alias("__gone"))
+    joined = source.where("__met").join(gone, same, "left").select("row", "text", "__gone").union(whole)
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(
         _remove,

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakerec.llm import chosen_path, narrow, ngram_join
+from lakerec.llm import chosen_path, narrow, ngram_join, paragraph_dedup
 from lakerec.session import stored
 
 
@@ -37,10 +37,14 @@ def test_only_texts_that_may_be_wanted_are_shuffled(spark, conf, plan, monkeypat
         plans[label] = plan(df)
         return stored(df, label)
 
-    for module in (ngram_join, chosen_path):
+    for module in (ngram_join, chosen_path, paragraph_dedup):
         monkeypatch.setattr(module, "stored", noted)
     ngram_join.jaccard_classes(docs).collect()
     assert not shuffled_texts(plans["sets"])
     plans.clear()
     chosen_path.near_duplicates(docs).collect()
     assert not shuffled_texts(plans["sets"])
+    out = paragraph_dedup.removed(docs)
+    assert not shuffled_texts(plans["paragraph-shingles"]) and not shuffled_texts(plan(out))
+    kept = {r.doc_id: (r.n_removed, r.kept_docs) for r in out.collect()}
+    assert kept == {i: (1, [0]) if i % 5 == 0 and i else (0, []) for i in range(40)}
