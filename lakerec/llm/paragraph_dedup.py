@@ -1,5 +1,7 @@
 """Removal of paragraphs that repeat, exactly or nearly, by MinHash banding, exact checks and components.
 
+With ``passage`` given, runs of that many words which stand in several documents go as well, wherever lines begin.
+
 A paragraph is a line (``\\n``-split) of five words or more, the width of a shingle; its set are the distinct 5-word
 shingles, A-Z lower-cased. Paragraphs are alike when ``100 * intersection >= 80 * union``. The result counts those of
 ``MIN_WORDS`` words or more (``n_paragraphs``) and the shorter ones (``n_short``) apart; ``n_removed`` counts both.
@@ -14,9 +16,17 @@ shingles, A-Z lower-cased. Paragraphs are alike when ``100 * intersection >= 80
    collides is skipped, but those in one class already.
 4. *Removals.* Classes are the components of the links. Of each class the paragraph that comes first, by document id and
    then by place, stays; the others are removed from their documents.
+5. *Passages* (only with ``passage``). Windows of that many words, A-Z lower-cased and with any white space between, are
+   filed under the least gram of ``passage // 2`` words inside (by hash, leftmost first): equal windows have equal grams
+   at equal offsets. The windows of one gram are a stretch. Where all stretches of a gram that several documents hold
+   are equal, counting decides; otherwise one stretch of each kind is taken apart, and its windows are counted by a
+   128-bit hash. The first document that holds a window keeps it; in the others the words it covers are removed, with
+   what stands between them, and lines that lose all their words. ``n_shared_words`` counts the words in such windows,
+   ``n_cut_words`` those removed from documents that do not come first, lines removed anyhow included; a window
+   repeated inside of one document only is neither.
 
 Defined cases: a null text has no paragraphs; lines of fewer than five words have no shingle and are never touched; null ids come last when the first
-paragraph is chosen; lines of any length are one paragraph, so a passage inside of longer lines that are not alike stays; rows are told
+paragraph is chosen; lines of any length are one paragraph, so without ``passage`` a passage inside of longer lines that are not alike stays; rows are told
 apart by id and a hash of the text, and repeated rows are documents of their own that lose
 the same lines, with the first row's paragraphs kept in every repeat of it. Extra columns pass through. An empty table
 gives an empty table.
@@ -30,12 +40,13 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerec.llm import text as T
 from lakerec.llm.narrow import marked, meeting
 from lakerec.llm.ngram_join import DIGEST_SALTS, WIDTH, set_classes
+from lakerec.llm.suffix_dedup import kinds_of, stretches
 from lakerec.session import stored
 
 MIN_WORDS = 10  # only tells n_paragraphs from n_short; shorter lines are compared and removed alike
@@ -49,22 +60,28 @@ def tune(threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL)
     return ceil(log(1 - recall) / log(1 - threshold**rows))
 
 
-def paragraphs(data: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int, np.ndarray]]]:
-    """Per text ``(line number, words, shingles)`` of its paragraphs."""
+def _lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Begin and end of each word, each line's first word (one more entry), and each line's text and number there."""
     breaks = np.flatnonzero(data == 10)
     edges = np.unique(np.concatenate([bounds, breaks + 1]))  # line starts; a line's feed belongs to it
-    _, _, first = T.words(data, edges)
+    begins, ends, first = T.words(data, edges)
+    owner = np.searchsorted(bounds, edges[:-1], "right") - 1
+    number = np.arange(len(owner)) - np.searchsorted(edges, bounds)[owner]
+    return begins, ends, first, owner, number
+
+
+def paragraphs(data: np.ndarray, bounds: np.ndarray) -> tuple[list[list[tuple[int, int, np.ndarray]]], np.ndarray, np.ndarray]:
+    """Per text ``(line number, words, shingles)`` of its paragraphs; hashes of all words, and each text's first word."""
+    begins, ends, first, owner, number = _lines(data, bounds)
+    values = T.span_hashes(T.prefix_sums(T.LOWER[data]), begins, ends)
     n_words = np.diff(first)
     many = np.flatnonzero(n_words >= WIDTH)
+    windows = T.window_hashes(values, WIDTH)
     found: list[list] = [[] for _ in range(len(bounds) - 1)]
-    if not len(many):
-        return found
-    sets = T.shingles(data, edges, WIDTH)
-    owner = np.searchsorted(bounds, edges[many], "right") - 1
-    first_line = np.searchsorted(edges, bounds)
-    for line, text in zip(many.tolist(), owner.tolist()):
-        found[text].append((line - int(first_line[text]), int(n_words[line]), sets[line]))
-    return found
+    for line, text in zip(many.tolist(), owner[many].tolist()):
+        own = np.unique(windows[first[line] : first[line + 1] - WIDTH + 1])
+        found[text].append((int(number[line]), int(n_words[line]), own))
+    return found, values, np.searchsorted(begins, bounds)
 
 
 def _owners(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,15 +109,43 @@ def band_values(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-_PARAGRAPHS = "doc_id bigint, mark bigint, line int, cls binary, bands array<bigint>"
+_PARAGRAPHS = (
+    "doc_id bigint, mark bigint, line int, cls binary, bands array<bigint>, "
+    "low int, high int, gram bigint, k0 bigint, k1 bigint"
+)
+_SETS = "cls binary, n bigint, shingles binary, prefix array<bigint>, k0 bigint, k1 bigint, place int, w0 bigint, w1 bigint"
+
+
+def _batch(schema: str, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The columns of ``schema``, null where not given."""
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    rows = len(next(iter(columns.values())))
+    fields = [c.split() for c in schema.split(", ")]
+    values = [columns[c] if c in columns else pa.nulls(rows, kinds[kind]) for c, kind in fields]
+    return pa.RecordBatch.from_arrays(values, names=[c for c, _ in fields])
 
 
-def _signatures(bands: int, rows: int):
+def _hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray, offset: np.ndarray) -> list[pa.Array]:
+    """Halves of a 128-bit hash of the words ``[low, high)`` and the offset."""
+    both = kinds_of(values.view(np.uint8), low * 8, high * 8, offset)
+    return [pa.array(both[:, 0]), pa.array(both[:, 1])]
+
+
+def _signatures(bands: int, rows: int, passage: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows ``(doc_id, mark, text)``; of equal sets in a slice only the first carries its bands."""
         for batch in batches:
             for low, high, data, bounds in T.slices(batch.column(2)):
-                out = [(i, line, values) for i, own in enumerate(paragraphs(data, bounds)) for line, _, values in own]
+                ids = [batch.column(i).slice(low, high - low) for i in (0, 1)]
+                found, values, first_word = paragraphs(data, bounds)
+                if passage:
+                    owner, begin, last, anchor, grams = stretches(values, first_word, passage, passage // 2)
+                    at = pa.array(owner)
+                    k0, k1 = _hashes(values, first_word[owner] + begin, first_word[owner] + last + passage, anchor - begin)
+                    columns = {"doc_id": ids[0].take(at), "mark": ids[1].take(at), "k0": k0, "k1": k1}
+                    columns |= {"low": pa.array(begin.astype(np.int32)), "high": pa.array(last.astype(np.int32))}
+                    yield _batch(_PARAGRAPHS, columns | {"gram": pa.array(grams.view(np.int64))})
+                out = [(i, line, own_set) for i, own in enumerate(found) for line, _, own_set in own]
                 if not out:
                     continue
                 names = digests([o[2] for o in out])
@@ -111,48 +156,90 @@ def _signatures(bands: int, rows: int):
                 place = np.full(len(out), -1)
                 place[heads] = np.arange(len(heads))
                 at = pa.array([o[0] for o in out])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low).take(at),
-                        batch.column(1).slice(low, high - low).take(at),
-                        pa.array([o[1] for o in out], pa.int32()),
-                        pa.array(names, pa.binary()),
-                        lists.take(pa.array(place, mask=place < 0)),
-                    ],
-                    names=["doc_id", "mark", "line", "cls", "bands"],
-                )
+                columns = {"doc_id": ids[0].take(at), "mark": ids[1].take(at), "line": pa.array([o[1] for o in out], pa.int32())}
+                columns |= {"cls": pa.array(names, pa.binary()), "bands": lists.take(pa.array(place, mask=place < 0))}
+                yield _batch(_PARAGRAPHS, columns)
 
     return run
 
 
-def _whole_sets(bands: int, rows: int):
+def _whole_sets(bands: int, rows: int, passage: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows ``(text, wanted)``: the sets of the wanted lines."""
+        """Rows ``(text, wanted, asked)``: the sets of the wanted lines, and the windows of the asked stretches."""
         for batch in batches:
             for low, high, data, bounds in T.slices(batch.column(0)):
-                wanted = batch.column(1).slice(low, high - low).to_pylist()
+                wanted, asked = (batch.column(i).slice(low, high - low).to_pylist() for i in (1, 2))
+                found, values, first_word = paragraphs(data, bounds)
                 out = []
-                for i, own in enumerate(paragraphs(data, bounds)):
+                for i, own in enumerate(found):
                     lines = {w["line"]: w["cls"] for w in wanted[i]}
-                    out += [(lines[line], values) for line, _, values in own if line in lines]
+                    out += [(lines[line], own_set) for line, _, own_set in own if line in lines]
                 if out:
                     flat = band_values([o[1] for o in out], bands, rows)
-                    columns = [
-                        pa.array([o[0] for o in out], pa.binary()),
-                        pa.array([len(o[1]) for o in out], pa.int64()),
-                        pa.array([o[1].tobytes() for o in out], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands), pa.array(flat.ravel())),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["cls", "n", "shingles", "prefix"])
+                    columns = {
+                        "cls": pa.array([o[0] for o in out], pa.binary()),
+                        "n": pa.array([len(o[1]) for o in out], pa.int64()),
+                        "shingles": pa.array([o[1].tobytes() for o in out], pa.binary()),
+                        "prefix": pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands), pa.array(flat.ravel())),
+                    }
+                    yield _batch(_SETS, columns)
+                told = [(a["k0"], a["k1"], int(first_word[i]) + a["low"], a["high"] - a["low"] + 1) for i in range(len(asked)) for a in asked[i]]
+                if told:
+                    k0, k1, begin, size = (np.array(c, dtype=np.int64) for c in zip(*told))
+                    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                    start = np.repeat(begin, size) + place
+                    w0, w1 = _hashes(values, start, start + passage, np.zeros(len(start), dtype=np.int64))
+                    columns = {"k0": pa.array(np.repeat(k0, size)), "k1": pa.array(np.repeat(k1, size)), "w0": w0, "w1": w1}
+                    yield _batch(_SETS, columns | {"place": pa.array(place.astype(np.int32))})
 
     return run
 
 
-def classes(docs: DataFrame, bands: int | None = None, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, mark, line, class)`` of every paragraph of ``docs (doc_id, text)``, stored."""
-    bands = bands or tune(rows=rows)
+def _shared_stretches(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored stretches whose gram several documents hold, and their kinds with the first document of each.
+
+    ``mixed`` tells grams whose stretches are not all equal.
+    """
+    who = F.xxhash64("doc_id", "mark").alias("who")
+    own = signed.where("gram is not null").select("doc_id", "mark", "low", "high", "gram", "k0", "k1", who)
+    bounds = [f(c).alias(f"{f.__name__}_{c}") for c in ("who", "k0", "k1") for f in (F.min, F.max)]
+    several = own.groupBy("gram").agg(*bounds).where("min_who <> max_who")
+    shared = stored(several.select("gram", F.expr("min_k0 <> max_k0 or min_k1 <> max_k1").alias("mixed")), "shared-grams")
+    # Stored, so that the joins can be split where a gram is hot.
+    met = stored(meeting(own, [F.col("gram")], shared, [F.col("gram")]).join(shared, "gram"), "shared-stretches")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "low", "high")).alias("one")
+    kinds = met.groupBy("k0", "k1", "mixed").agg(one, F.min("who").alias("a"), F.max("who").alias("b"))
+    return met, stored(kinds, "stretch-kinds")
+
+
+def _passages(met: DataFrame, kinds: DataFrame, windows: DataFrame) -> DataFrame:
+    """``(doc_id, mark, low, places, gone, kept_doc)``: windows that several documents hold, as a bit for each start from
+    ``low`` on, and whether another document keeps them. ``windows`` are those of the mixed kinds."""
+    first = F.struct("one.none", "one.doc_id", "one.mark").alias("first")
+    by = ["k0", "k1"]
+    told = windows.join(kinds.where("mixed").select(*by, first, "a", "b"), by)
+    often = told.groupBy("w0", "w1").agg(F.min("first").alias("first"), F.min("a").alias("a"), F.max("b").alias("b"))
+    hits = told.select(*by, "place", "w0", "w1").join(often.where("a <> b").select("w0", "w1", "first"), ["w0", "w1"])
+    hits = hits.groupBy(*by, "first").agg(F.expr("bit_or(shiftleft(1L, place))").alias("places"))
+    whole = kinds.where("not mixed").select(*by, first, F.expr("shiftleft(1L, one.high - one.low + 1) - 1").alias("places"))
+    spans = met.join(stored(hits.unionByName(whole), "shared-windows"), by)
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    return spans.select("doc_id", "mark", "low", "places", (~own).alias("gone"), F.col("first.doc_id").alias("kept_doc"))
+
+
+def _own_lists(lines: DataFrame, line: str, spans: DataFrame | None, span: str) -> DataFrame:
+    """``(id, text_mark)`` with one text's lists of both columns; either is empty where a text has rows of the other only."""
+    rows = lines.withColumn(span, F.lit(None).cast("int" if spans is None else spans.schema[span].dataType))
+    if spans is not None:
+        rows = rows.unionByName(spans.withColumn(line, F.lit(None).cast(rows.schema[line].dataType)))
+    return rows.groupBy("id", "text_mark").agg(F.collect_list(line).alias(line), F.collect_set(span).alias(span))
+
+
+def _found(docs: DataFrame, bands: int, rows: int, passage: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """``classes`` of ``docs``, and their ``_passages`` if asked for."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    signed = stored(source.mapInArrow(_signatures(bands, rows), _PARAGRAPHS), "paragraphs")
+    everything = stored(source.mapInArrow(_signatures(bands, rows, passage), _PARAGRAPHS), "paragraphs")
+    signed = everything.where("cls is not null").select("doc_id", "mark", "line", "cls", "bands")
     values = signed.select(F.hash("cls").alias("mark"), F.explode("bands").alias("h"))
     shared = values.groupBy("h").agg(F.min("mark").alias("a"), F.max("mark").alias("b")).where("a <> b").select("h")
     shared = stored(shared, "shared-bands")
@@ -160,18 +247,26 @@ def classes(docs: DataFrame, bands: int | None = None, rows: int = ROWS) -> Data
     by_set = stored(signed.groupBy("cls").agg(one, F.first("bands", ignorenulls=True).alias("bands")), "paragraph-sets")
     colliding = by_set.select("cls", "one", F.explode("bands").alias("h")).join(shared, "h", "left_semi")
     colliding = colliding.select("cls", "one").distinct()
-    wanted = colliding.groupBy(F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark")).agg(
-        F.collect_list(F.struct("one.line", "cls")).alias("wanted")  # lines of one text
-    )
-    wanted = stored(wanted, "wanted-lines")
+    text: list[Column] = [F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark")]
+    lines, asked = colliding.select(*text, F.struct("one.line", "cls").alias("wanted")), None
+    if passage:
+        met, kinds = _shared_stretches(everything)
+        asked = kinds.where("mixed").select(*text, F.struct("k0", "k1", "one.low", "one.high").alias("asked"))
+    wanted = stored(_own_lists(lines, "wanted", asked, "asked"), "wanted-lines")
     source = meeting(source, [F.col("doc_id"), F.col("mark")], wanted, [F.col("id"), F.col("text_mark")])
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
-    sets = wanted.join(source, same).select("text", "wanted")
-    sets = sets.mapInArrow(_whole_sets(bands, rows), "cls binary, n bigint, shingles binary, prefix array<bigint>")
-    roots = set_classes(stored(sets.withColumn("id", F.monotonically_increasing_id()), "paragraph-shingles"))
+    sets = wanted.join(source, same).select("text", "wanted", "asked").mapInArrow(_whole_sets(bands, rows, passage), _SETS)
+    sets = stored(sets.withColumn("id", F.monotonically_increasing_id()), "paragraph-shingles")
+    roots = set_classes(sets.where("cls is not null").select("cls", "n", "shingles", "prefix", "id"))
     found = signed.select("doc_id", "mark", "line", "cls").join(roots, "cls", "left")
     name = F.concat_ws(":", "root", F.when(F.col("root").isNull(), F.hex("cls")))
-    return stored(found.select("doc_id", "mark", "line", name.alias("class")), "paragraph-classes")
+    result = stored(found.select("doc_id", "mark", "line", name.alias("class")), "paragraph-classes")
+    return result, _passages(met, kinds, sets.where("cls is null").select("k0", "k1", "place", "w0", "w1")) if passage else None
+
+
+def classes(docs: DataFrame, bands: int | None = None, rows: int = ROWS) -> DataFrame:
+    """``(doc_id, mark, line, class)`` of every paragraph of ``docs (doc_id, text)``, stored."""
+    return _found(docs, bands or tune(rows=rows), rows, None)[0]
 
 
 def removals(found: DataFrame) -> DataFrame:
@@ -185,45 +280,93 @@ def removals(found: DataFrame) -> DataFrame:
 
 
 NEW = ["n_paragraphs", "n_short", "n_removed", "kept_docs", "kept_sha256", "kept_text"]
+PASSAGE = ["n_shared_words", "n_cut_words"]
+
+
+def _covered(spans: list[dict], words: int, passage: int) -> np.ndarray:
+    """Which of a text's words lie in a window of the spans."""
+    edges = np.zeros(words + 1, dtype=np.int64)
+    for s in spans:
+        start = s["low"] + np.flatnonzero(s["places"] >> np.arange(63) & 1)
+        edges[start] += 1  # the starts of one span differ
+        edges[start + passage] -= 1
+    return np.cumsum(edges)[:-1] > 0
+
+
+def _cut(line: bytes, keep: np.ndarray) -> bytes | None:
+    """What is kept of a line, or None if it has lost all its words."""
+    if keep.all():
+        return line
+    rest = np.frombuffer(line, dtype=np.uint8)[keep].tobytes()
+    return rest if rest.strip() else None
+
+
+def _remove(passage: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``(row, text, gone, spans)``."""
+        for batch in batches:
+            for low, high, data, bounds in T.slices(batch.column(1)):
+                rows = []
+                lists, passages = (batch.column(i).slice(low, high - low).to_pylist() for i in (2, 3))
+                begins, ends, first, owner, _ = _lines(data, bounds)
+                n_words = np.diff(first)
+                long, many = (np.bincount(owner[n_words >= n], minlength=high - low).tolist() for n in (MIN_WORDS, WIDTH))
+                first_word = np.searchsorted(begins, bounds)
+                for i in range(high - low):
+                    gone = {c["line"]: c["kept_doc"] for c in lists[i] or ()}
+                    body = data[bounds[i] : bounds[i + 1]].tobytes()
+                    lines = body.split(b"\n")
+                    origins, counts = set(gone.values()), (0, 0)
+                    if passages[i]:
+                        own = slice(first_word[i], first_word[i + 1])
+                        size = own.stop - own.start
+                        left = [s for s in passages[i] if s["gone"]]
+                        cut = _covered(left, size, passage)
+                        counts = (int(_covered(passages[i], size, passage).sum()), int(cut.sum()))
+                        origins |= {s["kept_doc"] for s in left}
+                        keep = np.ones(len(body), dtype=bool)
+                        edges = np.flatnonzero(np.diff(np.concatenate([[0], cut, [0]])))
+                        for a, b in edges.reshape(-1, 2).tolist():  # runs of words to cut
+                            keep[begins[own][a] - bounds[i] : ends[own][b - 1] - bounds[i]] = False
+                        at = np.cumsum([0] + [len(line) + 1 for line in lines]).tolist()
+                        lines = [_cut(line, keep[a : a + len(line)]) for line, a in zip(lines, at)]
+                    kept = b"\n".join(line for n, line in enumerate(lines) if n not in gone and line is not None)
+                    sums = (long[i], many[i] - long[i], len(gone))
+                    rows.append((*sums, sorted(origins - {None}), hashlib.sha256(kept).hexdigest(), kept.decode(), *counts))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, high - low)] + [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                    names=["row", *NEW, *PASSAGE],
+                )
+
+    return run
+
 
+def removed(docs: DataFrame, passage: int | None = None) -> DataFrame:
+    """``docs`` with ``NEW`` in the place of the text: paragraphs, those removed, the documents that keep them, the rest.
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(row, text, gone)``."""
-    for batch in batches:
-        for low, high, data, bounds in T.slices(batch.column(1)):
-            rows = []
-            lists = batch.column(2).slice(low, high - low).to_pylist()
-            for i, own in enumerate(paragraphs(data, bounds)):
-                gone = {c["line"]: c["kept_doc"] for c in lists[i] or ()}
-                body = data[bounds[i] : bounds[i + 1]].tobytes()
-                lines = body.split(b"\n")
-                kept = b"\n".join(line for n, line in enumerate(lines) if n not in gone)
-                origins = sorted({d for d in gone.values() if d is not None})
-                long = sum(words >= MIN_WORDS for _, words, _ in own)
-                sums = (long, len(own) - long, len(gone))
-                rows.append((*sums, origins, hashlib.sha256(kept).hexdigest(), kept.decode()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low)] + [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                names=["row", *NEW],
-            )
-
-
-def removed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``NEW`` in the place of the text: paragraphs, those removed, the documents that keep them, the rest."""
-    gone = removals(classes(docs)).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__text"))
-    gone = stored(gone.agg(F.collect_list(F.struct("line", "kept_doc")).alias("__gone")), "gone")
+    With ``passage`` (4 to 120 words) passages of that many words are removed too, and the columns ``PASSAGE`` follow.
+    """
+    found, spans = _found(docs, tune(), ROWS, passage)
+    text = [F.col("doc_id").alias("id"), F.col("mark").alias("text_mark")]
+    lines = removals(found).distinct().select(*text, F.struct("line", "kept_doc").alias("__gone"))
+    if passage:
+        spans = spans.select(*text, F.struct("low", "places", "gone", "kept_doc").alias("__spans"))
+    gone = _own_lists(lines, "__gone", spans, "__spans")
+    gone = stored(gone.withColumnsRenamed({"id": "__id", "text_mark": "__text"}), "gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     source = docs.select(F.col("doc_id").cast("bigint").alias("__key"), F.xxhash64("text").alias("__mark"), row.alias("row"), "text")
     same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__text"))
     # Texts that lose nothing stay where they are.
     source = marked(source, [F.col("__key"), F.col("__mark")], gone, [F.col("__id"), F.col("__text")], "__met")
-    whole = source.where("not __met").select("row", "text", F.lit(None).cast(gone.schema["__gone"].dataType).alias("__gone"))
-    joined = source.where("__met").join(gone, same, "left").select("row", "text", "__gone").union(whole)
+    nothing = [F.lit(None).cast(gone.schema[c].dataType).alias(c) for c in ("__gone", "__spans")]
+    whole = source.where("not __met").select("row", "text", *nothing)
+    joined = source.where("__met").join(gone, same, "left").select("row", "text", "__gone", "__spans").union(whole)
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(
-        _remove,
+        _remove(passage),
         f"row {kind}, n_paragraphs bigint, n_short bigint, n_removed bigint, kept_docs array<bigint>, kept_sha256 string, "
-        "kept_text string",
+        "kept_text string, n_shared_words bigint, n_cut_words bigint",
     )
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text" and c not in NEW], *NEW)
+    new = [*NEW, *PASSAGE] if passage else NEW
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text" and c not in new], *new)

@@ -315,6 +315,79 @@ def test_paragraph_dedup_repeated_rows_clashing_columns_and_long_lines(spark):
     assert found == expected
 
 
+def passages(rows, size):
+    """By brute force ``(id, text)`` -> words in windows of ``size`` words that several ids hold, and those of them to cut."""
+    words = {i: [w.lower() for w in R.WORD.findall(t or "")] for i, t in rows}
+    held = {}
+    for i, own in words.items():
+        for n in range(len(own) - size + 1):
+            held.setdefault(tuple(own[n : n + size]), set()).add(i)
+    found = {}
+    for i, own in words.items():
+        shared, cut = set(), set()
+        for n in range(len(own) - size + 1):
+            holders = held[tuple(own[n : n + size])]
+            if len(holders) > 1:
+                shared.update(range(n, n + size))
+                if min(holders, key=lambda d: (d is None, d)) != i:
+                    cut.update(range(n, n + size))
+        found[i] = shared, cut
+    return found
+
+
+def test_paragraph_dedup_removes_passages_inside_lines(spark):
+    rng = random.Random(21)
+    inside = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 80)} {inside} {prose(rng, 70)}\nthe end") for i in range(3)]
+    rows += [(9, f"{prose(rng, 30)} {' '.join(inside.split()[:49])} {prose(rng, 30)}")]  # 49 words are no passage
+    found = {r.doc_id: r for r in paragraph_dedup.removed(frame(spark, rows), passage=50).collect()}
+    assert [found[i].n_shared_words for i, _ in rows] == [60, 60, 60, 0]
+    assert [found[i].n_cut_words for i, _ in rows] == [0, 60, 60, 0]
+    assert [found[i].kept_docs for i, _ in rows] == [[], [0], [0], []]
+    assert [found[i].kept_text for i, _ in rows] == [t if i in (0, 9) else t.replace(inside, "") for i, t in rows]
+
+
+@pytest.mark.parametrize("size", [50, 12, 5])
+def test_paragraph_dedup_passages_equal_brute_force(spark, size):
+    rng = random.Random(23)
+    pool = [prose(rng, rng.randrange(size, 4 * size), 5000) for _ in range(12)]
+    pool += ["ab " * size * 2, "a b c " * size]
+    rows = []
+    for i in range(90):
+        parts = [prose(rng, rng.randrange(4 * size), 5000) for _ in range(rng.randrange(3))]
+        for _ in range(rng.randrange(4)):
+            piece = edited(rng, rng.choice(pool), rng.randrange(3)).split(" ")
+            low = rng.randrange(max(1, len(piece) - size))
+            parts.append(rng.choice([" ", "\n", "  "]).join(piece[low : low + rng.randrange(size // 2, 3 * size)]))
+        rng.shuffle(parts)
+        rows.append((i, rng.choice([" ", "\n", "\t"]).join(parts)))
+    rows += [(100, None), (101, ""), (None, rows[0][1].upper()), (102, " ".join(pool[:5])), (103, prose(rng, 40_000, 100_000))]
+    rows += [(104, rows[-1][1])]
+    found = {r.doc_id: r for r in paragraph_dedup.removed(frame(spark, rows), passage=size).collect()}
+    plain = {r.doc_id: r for r in paragraph_dedup.removed(frame(spark, rows)).collect()}
+    expected = passages(rows, size)
+    assert any(cut and cut != shared for shared, cut in expected.values())
+    for i, text in rows:
+        shared, cut = expected[i]
+        assert (found[i].n_shared_words, found[i].n_cut_words) == (len(shared), len(cut)), i
+        assert found[i][1:4] == plain[i][1:4]  # lines are counted as before
+        if found[i].n_removed == 0:
+            own = R.WORD.findall(text or "")
+            assert R.WORD.findall(found[i].kept_text) == [w for n, w in enumerate(own) if n not in cut]
+            if not cut:
+                assert found[i].kept_text == (text or "")
+
+
+def test_paragraph_dedup_passages_of_repeated_rows(spark):
+    rng = random.Random(27)
+    inside = prose(rng, 55)
+    one, two = f"{prose(rng, 60)} {inside} {prose(rng, 70)}", f"{prose(rng, 80)} {inside} {prose(rng, 50)}"
+    docs = frame(spark, [(None, one), (None, one), (None, two), (1, inside + "\n" + inside), (1, "x")])
+    found = sorted((r.doc_id is None, r.n_shared_words, r.n_cut_words, len(r.kept_text)) for r in paragraph_dedup.removed(docs, passage=50).collect())
+    cut = [(True, 55, 55, len(t) - len(inside)) for t in (one, one, two)]
+    assert found == sorted([*cut, (False, 0, 0, 1), (False, 110, 0, len(inside))])  # its own repeat goes as a line
+
+
 def test_jaccard_classes_with_clashing_columns(spark, corpus):
     docs = frame(spark, corpus[:40]).withColumns({"cls": F.lit(b"x"), "n": F.lit(1), "mark": F.lit(2), "id": F.lit(3)})
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(docs).collect()}
