@@ -192,6 +192,38 @@ def test_hot_variants_give_rows_in_proportion(spark, monkeypatch):
     assert {"split", "sorted"} <= {label for _, label in made} and max(made)[0] < strings / 10
 
 
+def test_hot_variants_are_split_in_few_passes(spark, monkeypatch):
+    """Each pass is several shuffles, however little is left: six anchors are taken in two passes, repeated rows included."""
+    made = []
+    real = suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, label: made.append(label) or real(df, label))
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 2)
+    rng = random.Random(15)
+    base = prose(rng, 150)
+    texts = [edited(rng, base, 2) for _ in range(40)]
+    rows = [*enumerate(texts), (3, texts[3]), (3, texts[3])]
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removed(frame(spark, rows)).collect()}
+    expected = dict(enumerate(R.repeats([*texts, texts[3], texts[3]], 400)))
+    assert found == {i: expected[i] for i in range(40)}
+    assert made.count("split") == 2 and "strings" in made
+
+
+@pytest.mark.parametrize("rounds", [range(1, 2), range(1, 4), range(4, 7)])
+def test_parts_have_one_anchor_a_round(rounds):
+    rng = np.random.default_rng(16)
+    data, bounds = rng.integers(97, 101, 2_000).astype(np.uint8), np.array([0, 30, 700, 700, 1_300, 2_000])
+    owner, first, last, grams = suffix_dedup.parts(data, bounds, 100, 30, rounds)
+    found = {}
+    for i, (text, low, high) in enumerate(zip(owner.tolist(), first.tolist(), last.tolist())):
+        for start in range(low, high + 1):
+            assert (text, start) not in found
+            found[text, start] = [g[i] for g in grams]
+    assert set(found) == {(t, s) for t in range(5) for s in range(bounds[t + 1] - bounds[t] - 99)}
+    for round_, k in zip(rounds, range(len(rounds))):
+        for text, low, high, _, gram in zip(*suffix_dedup.stretches(data, bounds, 100, 30, round_)):
+            assert all(found[text, start][k] == gram for start in range(low, high + 1))
+
+
 def test_merge_sort_orders_suffixes():
     rng = random.Random(2)
     body = "".join(rng.choice("ab") for _ in range(1500)).encode() * 2
