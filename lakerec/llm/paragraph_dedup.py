@@ -40,6 +40,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ from lakerec.llm import text as T
 from lakerec.llm.narrow import marked, meeting
 from lakerec.llm.ngram_join import DIGEST_SALTS, WIDTH, set_classes
 from lakerec.llm.suffix_dedup import kinds_of, stretches
-from lakerec.session import stored
+from lakerec.session import discard, stored
 
 MIN_WORDS = 10  # only tells n_paragraphs from n_short; shorter lines are compared and removed alike
 THRESHOLD = 0.8
@@ -70,6 +71,13 @@ def _lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return begins, ends, first, owner, number
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """``np.unique`` of non-empty ``values``, in a fraction of its time for the few of a line."""
+    values = np.sort(values)
+    new = values[1:] != values[:-1]
+    return values if new.all() else values[np.append(True, new)]
+
+
 def paragraphs(data: np.ndarray, bounds: np.ndarray) -> tuple[list[list[tuple[int, int, np.ndarray]]], np.ndarray, np.ndarray]:
     """Per text ``(line number, words, shingles)`` of its paragraphs; hashes of all words, and each text's first word."""
     begins, ends, first, owner, number = _lines(data, bounds)
@@ -79,7 +87,7 @@ def paragraphs(data: np.ndarray, bounds: np.ndarray) -> tuple[list[list[tuple[in
     windows = T.window_hashes(values, WIDTH)
     found: list[list] = [[] for _ in range(len(bounds) - 1)]
     for line, text in zip(many.tolist(), owner[many].tolist()):
-        own = np.unique(windows[first[line] : first[line + 1] - WIDTH + 1])
+        own = _distinct(windows[first[line] : first[line + 1] - WIDTH + 1])
         found[text].append((int(number[line]), int(n_words[line]), own))
     return found, values, np.searchsorted(begins, bounds)
 
@@ -245,7 +253,8 @@ def _found(docs: DataFrame, bands: int, rows: int, passage: int | None) -> tuple
     shared = stored(shared, "shared-bands")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "line")).alias("one")
     by_set = stored(signed.groupBy("cls").agg(one, F.first("bands", ignorenulls=True).alias("bands")), "paragraph-sets")
-    colliding = by_set.select("cls", "one", F.explode("bands").alias("h")).join(shared, "h", "left_semi")
+    values = meeting(by_set.select("cls", "one", F.explode("bands").alias("h")), [F.col("h")], shared, [F.col("h")])
+    colliding = values.join(shared, "h", "left_semi")
     colliding = colliding.select("cls", "one").distinct()
     text: list[Column] = [F.col("one.doc_id").alias("id"), F.col("one.mark").alias("text_mark")]
     lines, asked = colliding.select(*text, F.struct("one.line", "cls").alias("wanted")), None
@@ -253,12 +262,14 @@ def _found(docs: DataFrame, bands: int, rows: int, passage: int | None) -> tuple
         met, kinds = _shared_stretches(everything)
         asked = kinds.where("mixed").select(*text, F.struct("k0", "k1", "one.low", "one.high").alias("asked"))
     wanted = stored(_own_lists(lines, "wanted", asked, "asked"), "wanted-lines")
+    signed = stored(signed.select("doc_id", "mark", "line", "cls"), "lines")
+    discard(everything, shared, by_set)  # bands and stretches, by far the most of what is stored
     source = meeting(source, [F.col("doc_id"), F.col("mark")], wanted, [F.col("id"), F.col("text_mark")])
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))
     sets = wanted.join(source, same).select("text", "wanted", "asked").mapInArrow(_whole_sets(bands, rows, passage), _SETS)
     sets = stored(sets.withColumn("id", F.monotonically_increasing_id()), "paragraph-shingles")
     roots = set_classes(sets.where("cls is not null").select("cls", "n", "shingles", "prefix", "id"))
-    found = signed.select("doc_id", "mark", "line", "cls").join(roots, "cls", "left")
+    found = signed.join(roots, "cls", "left")
     name = F.concat_ws(":", "root", F.when(F.col("root").isNull(), F.hex("cls")))
     result = stored(found.select("doc_id", "mark", "line", name.alias("class")), "paragraph-classes")
     return result, _passages(met, kinds, sets.where("cls is null").select("k0", "k1", "place", "w0", "w1")) if passage else None
@@ -283,13 +294,19 @@ NEW = ["n_paragraphs", "n_short", "n_removed", "kept_docs", "kept_sha256", "kept
 PASSAGE = ["n_shared_words", "n_cut_words"]
 
 
-def _covered(spans: list[dict], words: int, passage: int) -> np.ndarray:
-    """Which of a text's words lie in a window of the spans."""
-    edges = np.zeros(words + 1, dtype=np.int64)
-    for s in spans:
-        start = s["low"] + np.flatnonzero(s["places"] >> np.arange(63) & 1)
-        edges[start] += 1  # the starts of one span differ
-        edges[start + passage] -= 1
+def _elements(column: pa.ListArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row of each struct in a column of lists, and the structs' fields."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), sizes), column.flatten().flatten()
+
+
+def _covered(low: np.ndarray, places: np.ndarray, words: int, passage: int) -> np.ndarray:
+    """Which of ``words`` words lie in a window of the spans."""
+    starts = [low[:0]]
+    for k in range(63):
+        starts.append(low[places >> k & 1 == 1] + k)
+    start = np.concatenate(starts)
+    edges = np.bincount(start, minlength=words + 1) - np.bincount(start + passage, minlength=words + 1)
     return np.cumsum(edges)[:-1] > 0
 
 
@@ -307,32 +324,40 @@ def _remove(passage: int | None):
         for batch in batches:
             for low, high, data, bounds in T.slices(batch.column(1)):
                 rows = []
-                lists, passages = (batch.column(i).slice(low, high - low).to_pylist() for i in (2, 3))
+                gone: list[dict] = [{} for _ in range(high - low)]
+                origins: list[set] = [set() for _ in range(high - low)]
+                at, (line, kept_doc) = _elements(batch.column(2).slice(low, high - low))
+                for i, n, doc in zip(at.tolist(), line.to_numpy().tolist(), kept_doc.to_pylist()):
+                    gone[i][n] = doc
+                    origins[i].add(doc)
                 begins, ends, first, owner, _ = _lines(data, bounds)
                 n_words = np.diff(first)
                 long, many = (np.bincount(owner[n_words >= n], minlength=high - low).tolist() for n in (MIN_WORDS, WIDTH))
                 first_word = np.searchsorted(begins, bounds)
+                shared = cut = np.zeros(len(begins), dtype=bool)
+                if passage:
+                    at, (start, places, later, kept_doc) = _elements(batch.column(3).slice(low, high - low))
+                    start, places, left = first_word[at] + start.to_numpy(), places.to_numpy(), later.to_numpy(zero_copy_only=False)
+                    shared = _covered(start, places, len(begins), passage)
+                    cut = _covered(start[left], places[left], len(begins), passage)
+                    for i, doc in zip(at[left].tolist(), kept_doc.filter(later).to_pylist()):
+                        origins[i].add(doc)
+                n_shared, n_cut = (np.diff(np.append(0, np.cumsum(words))[first_word]).tolist() for words in (shared, cut))
                 for i in range(high - low):
-                    gone = {c["line"]: c["kept_doc"] for c in lists[i] or ()}
                     body = data[bounds[i] : bounds[i + 1]].tobytes()
                     lines = body.split(b"\n")
-                    origins, counts = set(gone.values()), (0, 0)
-                    if passages[i]:
+                    if n_cut[i]:
                         own = slice(first_word[i], first_word[i + 1])
-                        size = own.stop - own.start
-                        left = [s for s in passages[i] if s["gone"]]
-                        cut = _covered(left, size, passage)
-                        counts = (int(_covered(passages[i], size, passage).sum()), int(cut.sum()))
-                        origins |= {s["kept_doc"] for s in left}
                         keep = np.ones(len(body), dtype=bool)
-                        edges = np.flatnonzero(np.diff(np.concatenate([[0], cut, [0]])))
+                        edges = np.flatnonzero(np.diff(np.concatenate([[0], cut[own], [0]])))
                         for a, b in edges.reshape(-1, 2).tolist():  # runs of words to cut
                             keep[begins[own][a] - bounds[i] : ends[own][b - 1] - bounds[i]] = False
                         at = np.cumsum([0] + [len(line) + 1 for line in lines]).tolist()
                         lines = [_cut(line, keep[a : a + len(line)]) for line, a in zip(lines, at)]
-                    kept = b"\n".join(line for n, line in enumerate(lines) if n not in gone and line is not None)
-                    sums = (long[i], many[i] - long[i], len(gone))
-                    rows.append((*sums, sorted(origins - {None}), hashlib.sha256(kept).hexdigest(), kept.decode(), *counts))
+                    kept = b"\n".join(line for n, line in enumerate(lines) if n not in gone[i] and line is not None)
+                    sums = (long[i], many[i] - long[i], len(gone[i]))
+                    digest = hashlib.sha256(kept).hexdigest()
+                    rows.append((*sums, sorted(origins[i] - {None}), digest, kept.decode(), n_shared[i], n_cut[i]))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low)] + [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],

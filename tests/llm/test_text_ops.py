@@ -1,8 +1,10 @@
 """Joins, dedup and quality rules against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import reference as R
 from pyspark.sql import functions as F
@@ -410,6 +412,49 @@ def test_paragraph_dedup_passages_equal_brute_force(spark, size):
                 assert found[i].kept_text == (text or "")
 
 
+def test_passages_of_many_texts_are_cut_at_once(monkeypatch):
+    """Texts with very many spans take as few steps as texts with one."""
+    calls = []
+    real = paragraph_dedup._covered
+    monkeypatch.setattr(paragraph_dedup, "_covered", lambda *a: calls.append(1) or real(*a))
+    rng = random.Random(21)
+    texts = [None, "", *(prose(rng, rng.randrange(60, 300)) + "\n" + prose(rng, 20) for _ in range(40))]
+    gone, spans = [], []
+    for i, text in enumerate(texts):
+        size = len((text or "").split())
+        gone.append([{"line": 1, "kept_doc": 7}] if size and i % 3 == 0 else None)
+        drawn = [] if size < 60 else [(rng.randrange(size - 60), rng.getrandbits(10) | 1, rng.random() < 0.5, rng.choice([None, 1, 2])) for _ in range(i)]
+        spans.append([dict(zip(("low", "places", "gone", "kept_doc"), d)) for d in drawn] or None)
+    kinds = [pa.struct([("line", pa.int32()), ("kept_doc", pa.int64())])]
+    kinds += [pa.struct([("low", pa.int32()), ("places", pa.int64()), ("gone", pa.bool_()), ("kept_doc", pa.int64())])]
+    lists = [pa.array(c, pa.list_(kind)) for c, kind in zip((gone, spans), kinds)]
+    rows = pa.array([{"doc_id": i} for i in range(len(texts))])
+    batch = pa.RecordBatch.from_arrays([rows, pa.array(texts), *lists], names=["row", "text", "gone", "spans"])
+    found = [r for part in (batch, batch.slice(5, 9)) for b in paragraph_dedup._remove(50)(iter([part])) for r in b.to_pylist()]
+    assert len(calls) <= 4
+    for r in found:
+        i = r["row"]["doc_id"]
+        words, own = (texts[i] or "").split(), spans[i] or []
+        shared, cut = ({s["low"] + k + w for s in part for k in range(10) if s["places"] >> k & 1 for w in range(50)} for part in (own, [s for s in own if s["gone"]]))
+        lost = words.index(texts[i].split("\n")[1].split()[0], len(words) - 20) if gone[i] else len(words)
+        assert (r["n_shared_words"], r["n_cut_words"], r["n_removed"]) == (len(shared), len(cut), len(gone[i] or []))
+        assert r["kept_text"].split() == [w for n, w in enumerate(words) if n not in cut and n < lost]
+        assert r["kept_docs"] == sorted({s["kept_doc"] for s in own if s["gone"]} - {None} | ({7} if gone[i] else set()))
+
+
+def test_paragraph_dedup_leaves_no_signatures_behind(spark, monkeypatch):
+    """Bands and stretches are several times the rest of what is stored; they go as soon as they have been used."""
+    made = {}
+    real = paragraph_dedup.stored
+    monkeypatch.setattr(paragraph_dedup, "stored", lambda df, label: made.setdefault(label, real(df, label)))
+    rng = random.Random(22)
+    docs = frame(spark, [(i, prose(rng, 30) + "\nthe same line of six words") for i in range(6)])
+    out = paragraph_dedup.removed(docs, passage=50)
+    there = {label: any(Path(f.removeprefix("file:")).exists() for f in df.inputFiles()) for label, df in made.items()}
+    assert not there["paragraphs"] and not there["paragraph-sets"] and there["lines"] and there["gone"]
+    assert sorted((r.doc_id, r.n_removed) for r in out.collect()) == [(i, int(i > 0)) for i in range(6)]
+
+
 def test_paragraph_dedup_passages_of_repeated_rows(spark):
     rng = random.Random(27)
     inside = prose(rng, 55)
