@@ -1,4 +1,5 @@
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from lakerec.operators import als, ranking
+from lakerec.session import new_scratch, scratch_scope
 
 
 @pytest.fixture(scope="module")
@@ -202,3 +204,29 @@ def test_sums_of_a_lot_do_not_spread_products_over_ratings():
         gram, rhs = x.T @ x + 0.1 * len(x) * np.eye(rank), x.T @ np.float32([r for _, r in rows[at][1]]).astype(float)
         np.testing.assert_allclose(found[at], als.nonnegative_least_squares(gram[None], rhs[None])[0], atol=1e-5)
     assert len(found) == len(rows) and peak < 60e6
+
+
+def test_factors_in_parts_are_those_of_one_broadcast(planted, monkeypatch):
+    train, _ = planted
+    monkeypatch.setattr(als, "PART_BYTES", 400)  # lots of ratings whose factors are looked up at once
+    monkeypatch.setattr(als, "ROW_LOT", 30)
+    whole = als.factorise(train, rank=3, max_iter=2)
+    for pieces_of in (als.MAX_RATINGS_PER_ID, 7):
+        parts = als.factorise(train, rank=3, max_iter=2, max_ratings_per_id=pieces_of, part_bytes=600)
+        for a, b in ((whole.users, parts.users), (whole.items, parts.items)):
+            mine, theirs = ({r.id: np.array(r.features) for r in side.collect()} for side in (a, b))
+            assert mine.keys() == theirs.keys() and max(np.abs(mine[k] - theirs[k]).max() for k in mine) < 1e-4
+
+
+@pytest.mark.parametrize("how", [{}, {"part_bytes": 600}, {"max_broadcast_bytes": 0, "max_ratings_per_id": 20}, {"max_ratings_per_id": 20}])
+def test_a_fit_leaves_nothing_on_disk_but_the_factors(planted, spark, how):
+    train, _ = planted
+    sent = set(Path(spark.sparkContext._temp_dir).iterdir())
+    with scratch_scope(spark):
+        factors = als.factorise(train, rank=3, max_iter=3, **how)
+        place = Path(new_scratch(spark, "x").removeprefix("file:")).parent
+        left = {path.name.rsplit("-", 1)[0] for path in place.iterdir()}
+        assert left <= {"als-factors", "als-userId-factors", "als-movieId-factors"} and len(list(place.iterdir())) == 2
+        assert factors.users.count() == 200
+    # Broadcasts of factors are held as files by the driver and by every executor until they are destroyed.
+    assert not set(Path(spark.sparkContext._temp_dir).iterdir()) - sent
