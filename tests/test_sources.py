@@ -286,3 +286,20 @@ def test_the_schedule_of_calls(spark):
         own = own.sort_values("called_at", kind="stable")
         gaps = own.called_at.diff().dropna().tolist()
         assert gaps == [0.5 if key % 10 == 0 else 0.25 for key in own.tmdbId.tolist()[:-1]]
+
+
+def test_shuffle_files_go_with_the_write_that_needed_them(spark, tmp_path):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    places = [Path(place.getPath()) for place in manager.localDirs()]
+
+    def shuffled():
+        return {file.name for place in places for file in place.rglob("shuffle_*")}
+
+    before = shuffled()
+    rows = spark.range(0, 10_000, 1, 4).repartition(5, "id")
+    session.stored(rows, "dealt")
+    files.write_csv(rows, str(tmp_path / "x.csv"))
+    deadline = time.monotonic() + 20
+    while (left := shuffled() - before) and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not left
